@@ -1,8 +1,13 @@
 """All registered queries with their SQL."""
 
-def queries():
-    return {}
+from __future__ import annotations
 
+from .queries import QUERIES, SQL, Query
 
-def oracle_sql():
-    return {}
+
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(SQL)
