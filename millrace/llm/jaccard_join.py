@@ -10,12 +10,14 @@ reach the similarity share a signature.
 Signatures are shuffled and sorted; only those that two sets share are kept.
 Groups are then solved in two rounds, with no listing of all pairs:
 
-1. every set is compared with the first set of each of its groups, and the
-   links found make components;
-2. only groups that still span components are looked at again, and there
-   each set may leave out its ``slack`` most frequent signatures (less its
-   empty partitions): of slack + 1 signatures that two sets share, the rarest
-   is left out by neither.
+0. a set that shares too few signatures of an instance with any others is
+   left out of it;
+1. every set is compared with one head of each of its groups, the set that
+   shares the most, then heads at random, and the links found make components;
+2. only sets whose groups still span components are looked at again, with
+   partitions so fine that each holds one shingle: there a set may leave out
+   all but its rarest shingles (1 - similarity of its size, and one), so hot
+   passages bring no pairs.
 
 Equal sets are one node throughout.  Links are confirmed on the full sets.
 
@@ -32,7 +34,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
@@ -41,6 +43,8 @@ from .scratch import small, stored
 
 #: Ratio of a band's largest to its smallest size.
 BAND = (3, 2)
+#: Bits of an odd sketch: each element flips one.  Sketches differ in at most as many bits as their sets in elements.
+SKETCH = 2048
 _MIXED = "c1 long, key long, meta long, extra binary"
 
 
@@ -91,8 +95,8 @@ def set_key(h: np.ndarray) -> np.uint64:
     return mix64(np.array([np.sum(mix64(h))], U) ^ U(len(h)))[0]
 
 
-def signatures(h: np.ndarray, sim: Similarity) -> Iterator[tuple[np.ndarray, int]]:
-    """Signatures of a sorted set, and how many of them round 2 may leave out, per instance."""
+def signatures(h: np.ndarray, sim: Similarity) -> Iterator[tuple[np.ndarray, int, int]]:
+    """Signatures of a sorted set, how many of them are to spare, and the seed, per instance."""
     mixed = mix64(h)
     for seed, parts, slack in instances(len(h), sim):
         at = ((h >> U(32)) * U(parts)) >> U(32)
@@ -104,7 +108,7 @@ def signatures(h: np.ndarray, sim: Similarity) -> Iterator[tuple[np.ndarray, int
         if spare < 0:
             empty = np.setdiff1d(np.arange(parts, dtype=U), found)
             out, spare = np.append(out, mix64(mix64(empty + U(seed << 32)) + U(1))), 0
-        yield out, spare
+        yield out, spare, seed
 
 
 def _emit(sim: Similarity):
@@ -126,10 +130,10 @@ def _emit(sim: Similarity):
                     if len(seen) > 200_000:
                         seen.clear()
                     seen.add(int(key))
-                    for out, spare in signatures(h, sim):
+                    for out, spare, seed in signatures(h, sim):
                         sigs.append(out)
                         owners.append(np.full(len(out), key, U))
-                        metas.append(np.full(len(out), n | min(spare, 127) << 32, np.int64))
+                        metas.append(np.full(len(out), n | min(spare, 4095) << 32 | seed << 44, np.int64))
                 d = np.array([x[:2] for x in docs], U).reshape(-1, 2)
                 c1 = np.concatenate([*sigs, d[:, 0]]).view(np.int64)
                 key = np.concatenate([*owners, d[:, 1]]).view(np.int64)
@@ -141,22 +145,21 @@ def _emit(sim: Similarity):
     return run
 
 
-_SHARED = "kind byte, sig long, key long, n int, spare int, center long, center_n int, doc_id long, mark long"
+_SHARED = "kind byte, sig long, key long, n int, spare int, instance int, doc_id long, mark long"
+_TYPES = [pa.int8(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by signature and set: document rows as they are, signatures that two sets share, with the group's first set."""
-    names = ["kind", "sig", "key", "n", "spare", "center", "center_n", "doc_id", "mark"]
-    kinds = [pa.int8(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
-    held = None  # last row: sig, key, meta, center, center's meta, whether its group has others
+    """Of rows sorted by signature and set: document rows, and signatures that two sets share."""
+    names = [x.split()[0] for x in _SHARED.split(", ")]
+    held, met = None, False  # the last signature row, and whether the row before it had its signature
 
     def rows(count: int, kind: int, **given) -> pa.RecordBatch:
         full = {"kind": pa.array(np.full(count, kind, np.int8))} | given
-        return pa.RecordBatch.from_arrays([full[x].cast(t) if x in full else pa.nulls(count, t) for x, t in zip(names, kinds)], names)
+        return pa.RecordBatch.from_arrays([full[x].cast(t) if x in full else pa.nulls(count, t) for x, t in zip(names, _TYPES)], names)
 
-    def links(sig, key, meta, center, center_meta) -> pa.RecordBatch:
-        low = lambda m: pa.array((m & 0xFFFFFFFF).astype(np.int32))
-        return rows(len(sig), 0, sig=pa.array(sig), key=pa.array(key), n=low(meta), spare=pa.array((meta >> 32 & 127).astype(np.int32)), center=pa.array(center), center_n=low(center_meta))
+    def links(sig: np.ndarray, key: np.ndarray, meta: np.ndarray) -> pa.RecordBatch:
+        return rows(len(sig), 0, sig=pa.array(sig), key=pa.array(key), n=pa.array(meta & 0xFFFFFFFF), spare=pa.array(meta >> 32 & 4095), instance=pa.array(meta >> 44))
 
     for batch in batches:
         extra = batch.column(3)
@@ -166,7 +169,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             raw = extra.filter(pa.array(is_doc)).to_pylist()
             pairs = np.frombuffer(b"".join(x[:16] for x in raw), np.int64).reshape(-1, 2)
             gone = np.array([len(x) > 16 for x in raw])
-            yield rows(len(raw), 1, key=pa.array(key[is_doc]), n=pa.array((meta[is_doc] & 0xFFFFFFFF).astype(np.int32)), doc_id=pa.array(pairs[:, 0], mask=gone), mark=pa.array(pairs[:, 1]))
+            yield rows(len(raw), 1, key=pa.array(key[is_doc]), n=pa.array(meta[is_doc]), doc_id=pa.array(pairs[:, 0], mask=gone), mark=pa.array(pairs[:, 1]))
         sig, key, meta = sig[~is_doc], key[~is_doc], meta[~is_doc]
         if held:
             sig, key, meta = (np.append(np.int64(h), x) for h, x in zip(held, (sig, key, meta)))
@@ -174,18 +177,15 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         fresh = np.append(True, (sig[1:] != sig[:-1]) | (key[1:] != key[:-1]))
         sig, key, meta = sig[fresh], key[fresh], meta[fresh]
-        starts = np.flatnonzero(np.append(True, sig[1:] != sig[:-1]))
-        sizes = np.diff(np.append(starts, len(sig)))
-        center, center_meta, met = np.repeat(key[starts], sizes), np.repeat(meta[starts], sizes), np.repeat(sizes > 1, sizes)
-        if held:
-            center[: sizes[0]], center_meta[: sizes[0]] = held[3], held[4]
-            met[: sizes[0]] |= held[5]
-        held = (sig[-1], key[-1], meta[-1], center[-1], center_meta[-1], bool(met[-1]))
-        keep = np.flatnonzero(met[:-1])
+        same = sig[1:] == sig[:-1]
+        shared = np.append(False, same) | np.append(same, False)
+        shared[0] |= met
+        held, met = (sig[-1], key[-1], meta[-1]), bool(shared[-1])
+        keep = np.flatnonzero(shared[:-1])
         if len(keep):
-            yield links(sig[keep], key[keep], meta[keep], center[keep], center_meta[keep])
-    if held and held[5]:
-        yield links(*(np.array([x], np.int64) for x in held[:5]))
+            yield links(sig[keep], key[keep], meta[keep])
+    if held and met:
+        yield links(*(np.array([x], np.int64) for x in held))
 
 
 def _sets(sim: Similarity):
@@ -198,19 +198,34 @@ def _sets(sim: Similarity):
                     part = sets[a : a + 500]
                     ends = np.cumsum([0] + [len(h) for h in part]).astype(np.int32)
                     flat = np.concatenate(part).view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(keys[a : a + 500]), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["key", "shingles"])
+                    bits = (np.repeat(np.arange(len(part)), np.diff(ends)) * SKETCH + (mix64(flat.view(U)) % U(SKETCH)).astype(np.int64))
+                    odd = np.packbits(np.bincount(bits, minlength=len(part) * SKETCH) & 1).view(np.int64)
+                    sketch = pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1, dtype=np.int32) * (SKETCH // 64)), pa.array(odd))
+                    yield pa.RecordBatch.from_arrays([pa.array(keys[a : a + 500]), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), sketch], ["key", "shingles", "sketch"])
 
     return run
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, sim: Similarity, chunk: int = 256) -> DataFrame:
-    """Of ``pairs`` (a, b) those whose sets link.  A set paired very often is given out in several copies."""
+def _beside(pairs: DataFrame, sets: DataFrame, column: str, chunk: int = 256) -> DataFrame:
+    """``pairs`` with a column of both sets, ``xa`` and ``xb``.  A set paired very often is given out in several copies."""
     load = pairs.groupBy("b").agg(F.ceil(F.count("*") / chunk).cast("int").alias("copies"))
-    right = sets.join(load, sets["key"] == load["b"]).select("b", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("salt"), F.col("shingles").alias("hb"))
-    salted = pairs.join(load, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("copies")).cast("int").alias("salt"))
-    met = salted.join(right, ["b", "salt"]).join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("ha")), "a")
-    both = F.size(F.array_intersect("ha", "hb"))
-    return met.where(both * sim.den >= (F.size("ha") + F.size("hb") - both) * sim.num).select("a", "b")
+    right = sets.join(load, sets["key"] == load["b"]).select("b", F.explode_outer(F.sequence(F.lit(0), F.col("copies") - 1)).alias("salt"), F.col(column).alias("xb"))
+    salted = pairs.join(load, "b").withColumn("salt", F.pmod(F.xxhash64("a"), F.col("copies")).cast("int"))
+    return salted.join(right, ["b", "salt"]).join(sets.select(F.col("key").alias("a"), F.col(column).alias("xa")), "a")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, sim: Similarity) -> DataFrame:
+    """Of ``pairs`` (a, b) those whose sets link.
+
+    With a column ``sketch`` in ``sets`` and sizes ``na`` and ``nb`` in
+    ``pairs``, pairs whose sketches differ too much are ruled out first.
+    """
+    if "sketch" in sets.columns:
+        differ = F.aggregate(F.zip_with("xa", "xb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+        near = _beside(pairs, sets, "sketch").where(differ * (sim.den + sim.num) <= (F.col("na") + F.col("nb")) * (sim.den - sim.num))
+        pairs = stored(near.select("a", "b").distinct(), "close")
+    both = F.size(F.array_intersect("xa", "xb"))
+    return _beside(pairs, sets, "shingles").where(both * sim.den >= (F.size("xa") + F.size("xb") - both) * sim.num).select("a", "b")
 
 
 def grouped(docs: DataFrame, sim: Similarity, text: str, key: str) -> tuple[DataFrame, DataFrame]:
@@ -219,27 +234,59 @@ def grouped(docs: DataFrame, sim: Similarity, text: str, key: str) -> tuple[Data
     table = rows.mapInArrow(_emit(sim), _MIXED).repartition("c1").sortWithinPartitions("c1", "key").mapInArrow(_shared, _SHARED)
     table = stored(table, "signatures", by="kind")
     nodes = table.where("kind = 1").select("key", "n", "doc_id", "mark")
-    shared = table.where("kind = 0").select("sig", "key", "n", "spare", "center", "center_n")
+    shared = table.where("kind = 0").select("sig", "key", "n", "spare", "instance")
+    # Linked sets share more signatures of an instance than either has to spare; a set with fewer shared ones has no link there.
+    enough = shared.groupBy("key", "instance").agg(F.count("*").cast("int").alias("c"), F.max("spare").alias("s")).where("c > s").select("key", "instance", "c")
+    shared = stored(shared.join(small(stored(enough, "enough"), 32), ["key", "instance"]), "shared")
     fits = lambda a, b: F.expr(f"{sim.num} * {a} <= {sim.den} * {b} and {sim.num} * {b} <= {sim.den} * {a}")
 
-    pairs = stored(shared.where("key != center").where(fits("n", "center_n")).select(F.col("key").alias("a"), F.col("center").alias("b")).distinct(), "pairs")
-    wanted = shared.select("key").distinct()
-    marks = stored(nodes.join(wanted, "key", "left_semi").groupBy("key").agg(F.min("mark").alias("mark")), "marks")
-    sets = rows.join(small(marks.select("mark"), 16), "mark", "left_semi").select("body").mapInArrow(_sets(sim), "key long, shingles array<long>")
-    sets = stored(sets.dropDuplicates(["key"]).join(small(marks.select("key"), 16), "key", "left_semi"), "sets")
-    edges = stored(confirmed(pairs, sets, sim), "links")
-    roots = stored(components(edges), "roots")
-
-    # Round 2: groups that still span components.
-    own = shared.join(roots.select(F.col("node").alias("key"), "root"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    groups = own.groupBy("sig").agg(F.count("*").alias("often"), F.min("root").alias("r0"), F.max("root").alias("r1"))
-    mixed = stored(own.join(groups, "sig").select("sig", "key", "n", "spare", "root", "often", (F.col("r0") != F.col("r1")).alias("open")), "groups")
-    hottest = Window.partitionBy("key", "spare").orderBy(F.desc("often"), "sig")
-    left = stored(mixed.withColumn("place", F.row_number().over(hottest)).where("place > spare and open").select("sig", "key", "n", "root"), "open")
-    one, two = (left.select("sig", *(F.col(c).alias(c + side) for c in ("key", "n", "root"))) for side in ("1", "2"))
-    more = one.join(two, "sig").where("root1 < root2").where(fits("n1", "n2")).select(F.col("key1").alias("a"), F.col("key2").alias("b")).distinct()
-    more = stored(more, "pairs")
-    edges = stored(edges.unionByName(confirmed(more, sets, sim)), "links")
+    def stars(rows: DataFrame, order: Column) -> DataFrame:
+        """Each set of a group with the group's head, the greatest by ``order``, if they lie in different components."""
+        heads = rows.groupBy("sig").agg(F.max(F.struct(order.alias("o"), "key", "n", "root")).alias("head"), F.count("*").alias("c")).where("c > 1")
+        met = rows.join(heads.select("sig", F.col("head.key").alias("b"), F.col("head.n").alias("nb"), F.col("head.root").alias("rb")), "sig").where("root != rb")
+        return stored(met.where(fits("n", "nb")).select(F.col("key").alias("a"), "b", F.col("n").alias("na"), "nb").distinct(), "pairs")
+
+    def rooted(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Components, and the signatures of groups that span several, with the group's size."""
+        roots = stored(components(edges), "roots")
+        own = shared.join(small(roots.select(F.col("node").alias("key"), "root"), 24), "key", "left").withColumn("root", F.coalesce("root", "key"))
+        groups = own.groupBy("sig").agg(F.count("*").alias("often"), (F.min("root") != F.max("root")).alias("open"))
+        return roots, stored(own.join(groups, "sig"), "groups")
+
+    wanted = stored(shared.select("key").distinct(), "wanted")
+    marks = stored(nodes.join(small(wanted, 16), "key", "left_semi").groupBy("key").agg(F.min(F.struct("mark", "doc_id")).alias("one")).select("one.*"), "marks").select(F.col("mark").alias("m"), F.col("doc_id").alias("d"))
+    sets = rows.join(small(marks, 24), (F.col("mark") == F.col("m")) & F.col("doc_id").eqNullSafe(F.col("d")), "left_semi").select("body").mapInArrow(_sets(sim), "key long, shingles array<long>, sketch array<long>")
+    sets = stored(sets, "sets")
+    if sets.count() > sets.select("key").distinct().count():  # rows equal in id and text
+        sets = stored(sets.dropDuplicates(["key"]), "sets")
+    def unsettled(rows: DataFrame, rounds: int = 3) -> DataFrame:
+        """Rows of groups that span components, of sets that share enough signatures with other components to link there."""
+        for _ in range(rounds):
+            rows = rows.where("open")
+            more = rows.groupBy("key", "instance").agg(F.count("*").alias("c"), F.max("spare").alias("s")).where("c > s").select("key", "instance")
+            rows = rows.join(small(stored(more, "enough"), 24), ["key", "instance"], "left_semi").drop("open")
+            spans = rows.groupBy("sig").agg((F.min("root") != F.max("root")).alias("open"))
+            rows = stored(rows.join(spans, "sig"), "unsettled")
+        return rows
+
+    # Round 1: the head shares the most signatures.  Then heads at random, another one in each group.
+    edges = stored(confirmed(stars(shared.withColumn("root", F.col("key")), F.col("c")), sets, sim), "links")
+    _, mixed = rooted(edges)
+    edges = stored(edges.unionByName(confirmed(stars(mixed.where("open"), F.xxhash64("sig", "key")), sets, sim)), "links")
+
+    # Round 2: what still spans components.
+    _, mixed = rooted(edges)
+    left = stored(unsettled(mixed).where("open").select("key", "root").distinct(), "open")
+    every = sets.join(small(left, 24), "key").select("key", "root", F.size("shingles").alias("n"), F.explode_outer("shingles").alias("shingle"))
+    often = every.groupBy("shingle").agg(F.count("*").alias("often"))
+    rarest = Window.partitionBy("key").orderBy("often", "shingle")
+    prefix = every.join(often, "shingle").withColumn("place", F.row_number().over(rarest)).where(F.expr(f"place <= n - ceil(n * {sim.num} / {sim.den}) + 1 and often > 1"))
+    prefix = stored(prefix.select("key", "root", "n", "shingle", "place"), "prefix")
+    one, two = (prefix.select("shingle", *(F.col(c).alias(c + side) for c in ("key", "n", "root", "place"))) for side in ("1", "2"))
+    # At the first shingle that two linked sets share, what follows in both must suffice.
+    reach = F.expr(f"(least(n1 - place1, n2 - place2) + 1) * {sim.num + sim.den} >= (n1 + n2) * {sim.num}")
+    more = one.join(two, "shingle").where("root1 < root2").where(fits("n1", "n2")).where(reach).select(F.col("key1").alias("a"), F.col("key2").alias("b"), F.col("n1").alias("na"), F.col("n2").alias("nb")).distinct()
+    edges = stored(edges.unionByName(confirmed(stored(more, "pairs"), sets, sim)), "links")
     roots = stored(components(edges), "roots")
 
     # The least document of each component; sets with one document and no link need none.
