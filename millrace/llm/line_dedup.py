@@ -8,9 +8,9 @@ another shares a word of its prefix with it; prefixes are joined on the word,
 pruned by length and position, and the rest is verified on the full sets.
 
 A line goes if an earlier line, in order of document id, hash of the text and
-line number, is equal as a set or similar enough.  Every line is first tried
-against the earliest of its groups; only those that survive are compared with
-the other earlier lines.
+line number, is equal as a set or similar enough.  A pair must
+also pass a bound on its 64-bit odd sketches, which differ in at most as many
+bits as the sets in words.
 
 Lines without words always stay; null texts have no lines and stay null; null
 ids come first; rows equal in id and text are one document and get the same
@@ -98,10 +98,11 @@ def _emit(counts: np.ndarray, sim: Similarity):
                 first = line_words(data, offsets)[2]
                 sizes = np.diff(np.append(starts, len(words)))
                 keys = set_keys(words, starts, sizes)
+                odd = np.bitwise_xor.reduceat(U(1) << (mix64(words) >> U(58)), starts)
                 at = np.searchsorted(first, lines, "right") - 1
                 owner = pa.array(at + row)
                 n = len(keys)
-                yield pa.RecordBatch.from_arrays([pa.array(np.ones(n, np.int8)), pa.array(np.zeros(n, np.int64)), pa.array(keys.view(np.int64)), pa.array(sizes.astype(np.int32)), pa.array((lines - first[at]).astype(np.int32)), ids.take(owner), marks.take(owner)], ["kind", "word", "key", "n", "at", "doc_id", "mark"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.ones(n, np.int8)), pa.array(np.zeros(n, np.int64)), pa.array(keys.view(np.int64)), pa.array(sizes.astype(np.int32)), pa.array((lines - first[at]).astype(np.int32)), ids.take(owner), marks.take(owner), pa.nulls(n, pa.int64())], ["kind", "word", "key", "n", "at", "doc_id", "mark", "sketch"])
                 unique, where = np.unique(keys, return_index=True)
                 if len(seen) > 500_000:
                     seen.clear()
@@ -116,12 +117,12 @@ def _emit(counts: np.ndarray, sim: Similarity):
                 total = int(prefix.sum())
                 nth = np.arange(total) - np.repeat(np.cumsum(prefix) - prefix, prefix)
                 tokens = words[np.repeat(starts[pick], prefix) + nth]
-                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(total, np.int8)), pa.array(tokens.view(np.int64)), pa.array(np.repeat(keys[pick], prefix).view(np.int64)), pa.array(np.repeat(size, prefix).astype(np.int32)), pa.array(nth.astype(np.int32)), pa.nulls(total, pa.int64()), pa.nulls(total, pa.int64())], ["kind", "word", "key", "n", "at", "doc_id", "mark"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(total, np.int8)), pa.array(tokens.view(np.int64)), pa.array(np.repeat(keys[pick], prefix).view(np.int64)), pa.array(np.repeat(size, prefix).astype(np.int32)), pa.array(nth.astype(np.int32)), pa.nulls(total, pa.int64()), pa.nulls(total, pa.int64()), pa.array(np.repeat(odd[pick], prefix).view(np.int64))], ["kind", "word", "key", "n", "at", "doc_id", "mark", "sketch"])
 
     return run
 
 
-_LINES = "kind byte, word long, key long, n int, at int, doc_id long, mark long"
+_LINES = "kind byte, word long, key long, n int, at int, doc_id long, mark long, sketch long"
 
 
 def _runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,28 +178,26 @@ def removed_lines(docs: DataFrame, sim: Similarity = SIM, text: str = "text", ke
     table = rows.mapInArrow(_emit(counts, sim), _LINES).repartition(spread).sortWithinPartitions("word", "key").mapInArrow(_runs, _LINES)
     table = stored(table, "lines", by="kind")
     seen = table.where("kind = 1").select("key", "n", "doc_id", "mark", "at")
-    shared = table.where("kind = 0").select("word", "key", "n", "at")
+    shared = table.where("kind = 0").select("word", "key", "n", "at", "sketch")
+
+    one, two = (shared.select("word", *(F.col(c).alias(c + side) for c in ("key", "n", "at", "sketch"))) for side in ("1", "2"))
+    more = sim.num + sim.den
+    rule = F.expr(f"""key1 < key2 and {sim.num} * n1 <= {sim.den} * n2 and {sim.num} * n2 <= {sim.den} * n1
+        and least(n1 - at1, n2 - at2) * {more} >= (n1 + n2) * {sim.num} and bit_count(sketch1 ^ sketch2) * {more} <= (n1 + n2) * {sim.den - sim.num}""")
+    pairs = stored(one.join(two, (one["word"] == two["word"]) & rule).select(F.col("key1").alias("a"), F.col("key2").alias("b")).distinct(), "pairs")
 
     place = F.struct("doc_id", "mark", "at")
     firsts = stored(seen.groupBy("key").agg(F.min(place).alias("first"), F.count("*").alias("times")), "firsts")
-    keys = stored(shared.select("key").distinct(), "keys")
-    order = stored(firsts.join(keys, "key", "left_semi").select("key", "first"), "order")
-    spots = order.groupBy(F.col("first.doc_id").alias("doc_id"), F.col("first.mark").alias("mark")).agg(F.collect_list(F.col("first.at")).alias("ask"))
-    spots = stored(spots.groupBy("mark").agg(F.array_distinct(F.flatten(F.collect_list("ask"))).alias("ask")), "spots")
-    sets = rows.join(small(spots, 300), "mark").select("text", "ask").mapInArrow(_sets(), "key long, shingles array<long>")
+    keys = stored(pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct(), "keys")
+    order = stored(firsts.join(small(keys, 16), "key", "left_semi").select("key", "first"), "order")
+    spots = stored(order.groupBy(F.col("first.mark").alias("mark")).agg(F.collect_set(F.col("first.at")).alias("ask")), "spots")
+    sets = rows.join(small(spots, 100), "mark").select("text", "ask").mapInArrow(_sets(), "key long, shingles array<long>")
     sets = stored(sets.dropDuplicates(["key"]), "sets")
 
-    placed = stored(shared.join(order, "key"), "placed")
-    heads = placed.groupBy("word").agg(F.min(F.struct("first", "key", "n")).alias("head"))
-    near = F.expr(f"{sim.num} * n <= {sim.den} * m and {sim.num} * m <= {sim.den} * n")
-    tries = placed.join(heads, "word").select(F.col("key").alias("a"), F.col("head.key").alias("b"), "n", F.col("head.n").alias("m")).where("a != b").where(near)
-    gone = stored(confirmed(tries.select("a", "b").distinct(), sets, sim).select(F.col("a").alias("key")).distinct(), "gone")
-    # Survivors against all earlier lines of their groups; the words that follow both positions must suffice.
-    open_ = placed.join(gone, "key", "left_anti").select("word", F.col("key").alias("a"), "n", F.col("at").alias("i"), F.col("first").alias("fa"))
-    other = placed.select("word", F.col("key").alias("b"), F.col("n").alias("m"), F.col("at").alias("j"), F.col("first").alias("fb"))
-    enough = F.expr(f"least(n - i, m - j) * {sim.num + sim.den} >= (n + m) * {sim.num}")
-    more = open_.join(other, "word").where("fb < fa").where(near).where(enough).select("a", "b").distinct()
-    gone = gone.unionByName(confirmed(stored(more, "tries"), sets, sim).select(F.col("a").alias("key"))).distinct()
+    met = stored(confirmed(pairs, sets, sim), "matches")
+    for side in ("a", "b"):
+        met = met.join(small(order.select(F.col("key").alias(side), F.col("first").alias("first_" + side)), 64), side)
+    gone = met.select(F.when(F.col("first_a") < F.col("first_b"), F.col("b")).otherwise(F.col("a")).alias("key")).distinct()
 
     marked = firsts.join(stored(gone, "gone").withColumn("similar", F.lit(True)), "key", "left").where("times > 1 or similar")
     marked = stored(marked.select("key", "first", F.coalesce("similar", F.lit(False)).alias("similar")), "marked")
