@@ -1,6 +1,6 @@
 """Array kernels over UTF-8 text, run on the executors by ``mapInArrow``.
 
-Texts are worked on as bytes in chunks of a few MB (a longer text is a chunk
+Texts are worked on as bytes in chunks of about one MB (a longer text is a chunk
 of its own), so memory follows the longest text and not the batch.
 """
 
@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 U = np.uint64
 _BASE = U(0x9E3779B97F4A7C15 | 1)
 _INVERSE = U(pow(int(_BASE), -1, 1 << 64))
@@ -64,6 +64,7 @@ def text_chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nda
         to = min(to, n)
         yield row, to, data[offsets[row] : offsets[to]], offsets[row : to + 1] - offsets[row]
         row = to
+    pa.default_memory_pool().release_unused()  # workers live on after a task
 
 
 def spans(inside: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
