@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .kernels import U, mix64, shingle_sets, text_chunks
+from .kernels import U, let_go, mix64, shingle_sets, text_chunks
 from .scratch import small, stored
 
 #: Ratio of a band's largest to its smallest size.
@@ -113,6 +113,7 @@ def signatures(h: np.ndarray, sim: Similarity) -> Iterator[tuple[np.ndarray, int
 
 def _emit(sim: Similarity):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         seen: set[int] = set()
         for batch in batches:
             ids, marks = batch.column(0), batch.column(2)

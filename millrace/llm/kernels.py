@@ -29,6 +29,16 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
+#: Tables of large objects that an operator keeps in a worker process between its tasks.
+KEPT: list[dict] = []
+
+
+def let_go() -> None:
+    """Free what other operators keep in this worker process; workers serve one stage after another."""
+    for table in KEPT:
+        table.clear()
+
+
 class Powers:
     """Powers of the hash base and of its inverse, grown as needed."""
 

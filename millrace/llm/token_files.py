@@ -30,7 +30,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .kernels import SPACE, text_chunks
+from .kernels import KEPT, SPACE, text_chunks
 from .scratch import new_path, stored
 
 FRAME_IDS = 1 << 18
@@ -107,10 +107,11 @@ class Encoder:
 
 
 _encoders: dict[str, Encoder] = {}
+KEPT.append(_encoders)
 
 
 def encoder(path: str) -> Encoder:
-    """One encoder per worker process and vocabulary file."""
+    """One encoder per worker process and vocabulary file, until :func:`kernels.let_go`."""
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]

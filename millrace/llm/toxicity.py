@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .kernels import let_go
 from .language import held_out
 
 # Insults, phrases that hold one innocently, look-alikes, digit and sign substitutions.
@@ -182,6 +183,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = 0.3
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), held_out(key).alias("held_out"), F.col(text).alias("text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             scores = np.array([model.score(t.as_py()) for t in batch.column(2)], float)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(scores), pa.array((scores >= threshold).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
@@ -194,6 +196,7 @@ def without_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = 0.3,
     schema, at = docs.schema, docs.columns.index(text)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             keep = pa.array([model.score(t.as_py()) < threshold for t in batch.column(at)], pa.bool_())
             yield batch.filter(keep)
