@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .kernels import U, let_go, mix64, shingle_sets, text_chunks
-from .scratch import small, stored
+from .scratch import TEXT_ROWS, small, stored
 
 #: Ratio of a band's largest to its smallest size.
 BAND = (3, 2)
@@ -142,6 +142,8 @@ def _emit(sim: Similarity):
                 extra = pa.array([None] * (len(c1) - len(d)) + extras, pa.binary()) if len(c1) == len(d) else pa.concat_arrays([pa.nulls(len(c1) - len(d), pa.binary()), pa.array(extras, pa.binary())])
                 for a in range(0, len(c1), 100_000):
                     yield pa.RecordBatch.from_arrays([pa.array(c1[a : a + 100_000]), pa.array(key[a : a + 100_000]), pa.array(meta[a : a + 100_000]), extra.slice(a, 100_000)], ["c1", "key", "meta", "extra"])
+        seen.clear()
+        let_go()
 
     return run
 
@@ -233,7 +235,7 @@ def grouped(docs: DataFrame, sim: Similarity, text: str, key: str) -> tuple[Data
     """Documents (doc_id, mark, n, key), and for sets that are not alone: key, root, component_id."""
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("body"), F.xxhash64(text).alias("mark"))
     table = rows.mapInArrow(_emit(sim), _MIXED).repartition("c1").sortWithinPartitions("c1", "key").mapInArrow(_shared, _SHARED)
-    table = stored(table, "signatures", by="kind")
+    table = stored(table, "signatures", by="kind", batch_rows=TEXT_ROWS)
     nodes = table.where("kind = 1").select("key", "n", "doc_id", "mark")
     shared = table.where("kind = 0").select("sig", "key", "n", "spare", "instance")
     # Linked sets share more signatures of an instance than either has to spare; a set with fewer shared ones has no link there.
@@ -257,7 +259,7 @@ def grouped(docs: DataFrame, sim: Similarity, text: str, key: str) -> tuple[Data
     wanted = stored(shared.select("key").distinct(), "wanted")
     marks = stored(nodes.join(small(wanted, 16), "key", "left_semi").groupBy("key").agg(F.min(F.struct("mark", "doc_id")).alias("one")).select("one.*"), "marks").select(F.col("mark").alias("m"), F.col("doc_id").alias("d"))
     sets = rows.join(small(marks, 24), (F.col("mark") == F.col("m")) & F.col("doc_id").eqNullSafe(F.col("d")), "left_semi").select("body").mapInArrow(_sets(sim), "key long, shingles array<long>, sketch array<long>")
-    sets = stored(sets, "sets")
+    sets = stored(sets, "sets", batch_rows=TEXT_ROWS)
     if sets.count() > sets.select("key").distinct().count():  # rows equal in id and text
         sets = stored(sets.dropDuplicates(["key"]), "sets")
     def unsettled(rows: DataFrame, rounds: int = 3) -> DataFrame:

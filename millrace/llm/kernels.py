@@ -6,6 +6,7 @@ of its own), so memory follows the longest text and not the batch.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +38,9 @@ def let_go() -> None:
     """Free what other operators keep in this worker process; workers serve one stage after another."""
     for table in KEPT:
         table.clear()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc keeps freed pages otherwise
+        trim(0)
 
 
 class Powers:

@@ -43,12 +43,26 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def stored(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
-    """Write ``df`` as a scratch table and return the table."""
+#: Rows of a batch that workers get where rows hold whole texts; Spark's own 10,000 would be tens of MB.
+TEXT_ROWS = 2000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def stored(df: DataFrame, name: str, by: str | None = None, batch_rows: int | None = None) -> DataFrame:
+    """Write ``df`` as a scratch table and return the table.
+
+    ``batch_rows`` bounds the batches of the Python workers while it is written.
+    """
     spark = df.sparkSession
     path = new_path(spark, name)
     writer = df.write.partitionBy(by) if by else df.write
-    writer.parquet(path)
+    before = spark.conf.get(_BATCH)
+    if batch_rows:
+        spark.conf.set(_BATCH, str(min(batch_rows, int(before)) if int(before) > 0 else batch_rows))
+    try:
+        writer.parquet(path)
+    finally:
+        spark.conf.set(_BATCH, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
