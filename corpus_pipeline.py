@@ -27,10 +27,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold passages of fewer than two benchmark items."""
+    """Documents that hold no passage of any benchmark item."""
     scratch.sweep(spark, "pipeline")
     with scratch.scope("pipeline"):
-        return decontaminate.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+        return decontaminate.without_contaminated(docs, table(spark, sf_dir, "benchmark"), least_items=1)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

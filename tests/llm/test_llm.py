@@ -230,3 +230,19 @@ def test_pipeline_runs(spark):
     import corpus_pipeline
 
     assert [n for n, _ in corpus_pipeline.STAGES] and corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 0
+
+
+def test_pipeline_drops_documents_with_one_item(spark, tmp_path):
+    import corpus_pipeline
+
+    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(t))
+    spans = lambda t: {tuple(w[a : a + 8]) for w in [words(t)] for a in range(len(w) - 7)}
+    item = "one item of the benchmark stands here whole and alone in a page"
+    items = [(1, item), (2, "another item of the benchmark that stands in no page at all")]
+    texts = ["before it " + item + " and after", item.upper(), "one item of the benchmark stands here", "nothing of the kind is here, only plain words of a page", "", None]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    known = set().union(*(spans(t) for _, t in items))
+    want = {i for i, t in enumerate(texts) if not spans(t) & known}
+    assert want == {2, 3, 4, 5}
+    assert {r["doc_id"] for r in corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path)).collect()} == want
