@@ -216,7 +216,7 @@ def strip_tags(spark, sf_dir):
 @query()
 def wiki_plain_text(spark, sf_dir):
     """Tested on fixtures: the pages hold no wiki markup."""
-    return table(spark, sf_dir, "pages").select("page_id", wikitext.plain_text(F.col("html"), passes=4).alias("text"))
+    return table(spark, sf_dir, "pages").select("page_id", wikitext.plain_text(F.col("html")).alias("text"))
 
 
 _PROJECTS = {"wikisource": ["zh", "en"], "wikiquote": ["de"], "wikinews": ["fr", "es", "en"]}

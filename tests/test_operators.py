@@ -85,3 +85,11 @@ def test_queries_run(spark):
         assert registry.queries()[name](spark, DATA).count() > 0
     assert set(registry.oracle_sql()) <= set(registry.queries())
     assert templates.SYSTEM
+
+
+def test_wiki_plain_text_of_deep_templates(spark, tmp_path):
+    nested = lambda depth: "{{small|" * depth + "x" + "}}" * depth
+    pages = [(d, f"a {nested(d)} b<ref>{nested(d)}</ref>{{{{reflist}}}}") for d in (1, 5, 20)]
+    spark.createDataFrame(pages, "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = registry.queries()["wiki_plain_text"](spark, str(tmp_path)).collect()
+    assert {r["page_id"]: r["text"] for r in got} == dict.fromkeys((1, 5, 20), "a x b[1][1] x")
