@@ -76,7 +76,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_files.token_files(table(spark, sf_dir, "documents"), vocabulary(), end_id=0)
+    return token_files.token_files(table(spark, sf_dir, "documents"), vocabulary(), end_id=0, added=True)
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -52,14 +52,20 @@ class Encoder:
     non-spaces, after that line feed, and between an ASCII letter or digit and
     ASCII punctuation.  Each distinct piece is encoded once by the tokenizers
     library.  Texts with white space beyond ASCII are encoded as one piece.
+
+    With ``added``, the text of an added token becomes that token, as by the
+    library's default, and texts that hold one are one piece; else it is
+    encoded as plain text.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, added: bool = False) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
+        tokens = self.tokenizer.get_added_tokens_decoder().values() if added else ()
+        self.whole = (*_ODD, *(t.content.encode() for t in tokens))
         self.known: dict[str, bytes] = {}
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
@@ -86,9 +92,9 @@ class Encoder:
         cut[1:] |= line[:-1]
         cut[1:] |= _PUNCT[data[1:]] & _ALNUM[data[:-1]]
         raw = data.tobytes()
-        if any(x in raw for x in _ODD):
+        if any(x in raw for x in self.whole):
             for a, b in zip(offsets[:-1], offsets[1:]):
-                if any(x in raw[a:b] for x in _ODD):
+                if any(x in raw[a:b] for x in self.whole):
                     cut[a:b] = False
         edge = offsets[:-1][offsets[:-1] < n]
         cut[edge] = True
@@ -106,15 +112,15 @@ class Encoder:
         return out, before[np.searchsorted(starts, offsets)]
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
 KEPT.append(_encoders)
 
 
-def encoder(path: str) -> Encoder:
-    """One encoder per worker process and vocabulary file, until :func:`kernels.let_go`."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+def encoder(path: str, added: bool = False) -> Encoder:
+    """One encoder per worker process, vocabulary file and treatment of added tokens, until :func:`kernels.let_go`."""
+    if (path, added) not in _encoders:
+        _encoders[path, added] = Encoder(path, added)
+    return _encoders[path, added]
 
 
 class Writer:
@@ -194,7 +200,7 @@ def opened(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
 
 
-def _write(folder: str, vocabulary: str, end_id: int):
+def _write(folder: str, vocabulary: str, end_id: int, added: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -208,7 +214,7 @@ def _write(folder: str, vocabulary: str, end_id: int):
                 if writer is None:
                     files.create_dir(base, recursive=True)
                     writer = Writer(files.open_output_stream(temp))
-                flat, at = encoder(vocabulary).encode(data, offsets)
+                flat, at = encoder(vocabulary, added).encode(data, offsets)
                 for i, (a, b) in enumerate(zip(at[:-1], at[1:]), first):
                     writer.add(ids[i], np.append(flat[a:b], np.uint32(end_id)))
                     tokens += int(b - a) + 1
@@ -221,11 +227,11 @@ def _write(folder: str, vocabulary: str, end_id: int):
     return run
 
 
-def write_token_files(docs: DataFrame, vocabulary: str, folder: str, end_id: int = 0, text: str = "text", key: str = "doc_id") -> DataFrame:
+def write_token_files(docs: DataFrame, vocabulary: str, folder: str, end_id: int = 0, text: str = "text", key: str = "doc_id", added: bool = False) -> DataFrame:
     """Write ``docs`` to ``folder`` (an URI all executors reach); the manifest: ``part, path, docs, tokens``."""
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     ordered = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").drop("tie")
-    return stored(ordered.mapInArrow(_write(folder, vocabulary, end_id), "part int, path string, docs long, tokens long"), "manifest", batch_rows=TEXT_ROWS)
+    return stored(ordered.mapInArrow(_write(folder, vocabulary, end_id, added), "part int, path string, docs long, tokens long"), "manifest", batch_rows=TEXT_ROWS)
 
 
 def _read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,7 +262,7 @@ def read_documents(path: str, doc_ids: Iterable[int]) -> dict[int, np.ndarray]:
         return {int(r["doc_id"]): reader.ids(i) for i, r in enumerate(reader.rows) if r["valid"] and int(r["doc_id"]) in wanted}
 
 
-def token_files(docs: DataFrame, vocabulary: str, end_id: int = 0, text: str = "text", key: str = "doc_id") -> DataFrame:
+def token_files(docs: DataFrame, vocabulary: str, end_id: int = 0, text: str = "text", key: str = "doc_id", added: bool = False) -> DataFrame:
     """Write ``docs`` to a scratch folder and read the files back."""
     folder = new_path(docs.sparkSession, "tokens")
-    return read_token_files(write_token_files(docs, vocabulary, folder, end_id, text, key))
+    return read_token_files(write_token_files(docs, vocabulary, folder, end_id, text, key, added))

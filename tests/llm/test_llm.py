@@ -246,3 +246,18 @@ def test_pipeline_drops_documents_with_one_item(spark, tmp_path):
     want = {i for i, t in enumerate(texts) if not spans(t) & known}
     assert want == {2, 3, 4, 5}
     assert {r["doc_id"] for r in corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path)).collect()} == want
+
+
+def test_op10_takes_added_tokens_as_the_library_does(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(queries.vocabulary())
+    texts = ["<|endoftext|> a", "it's\na<|endoftext|>b, c\n\n<|endoftext|>", "<|endoftext|", "|> two words", "<|endoftext|>\u00a0x y", "", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(1).write.parquet(f"{tmp_path}/documents.parquet")
+    at, want = 0, []
+    for i, x in enumerate(texts):
+        ids = np.array([*t.encode(x or "", add_special_tokens=False).ids, 0], "<u4")
+        want.append((i, at, len(ids), zlib.crc32(ids.tobytes())))
+        at += len(ids)
+    assert t.encode(texts[0], add_special_tokens=False).ids == [50256, 257]
+    assert sorted(map(tuple, queries.op10_token_files(spark, str(tmp_path)).collect())) == want
