@@ -5,6 +5,8 @@ n-grams of 2 to 4; n-grams are hashed to rows of an embedding table, averaged
 over the whole text, and classified by a linear softmax, trained by stochastic
 gradient descent in numpy.  A temperature fitted on rows left out of the
 training calibrates the probability; below ``reject`` the answer is ``und``.
+By default ``fit`` takes the probability that all but ``REJECTED`` of those
+rows reach.
 
 Null texts and texts without a letter are ``und`` with score 0.  The sample is
 bounded: about ``per_label`` rows per language and ``sample_rows`` in all, of
@@ -26,6 +28,8 @@ from .kernels import LOWER, SPACE, U, mix64, spans, text_chunks
 from .scratch import small, stored
 
 GRAMS = (2, 3, 4)
+#: Share of the calibration rows that a derived threshold rejects at most.
+REJECTED = 0.01
 
 
 def held_out(key: str | Column, fold: int = 2, folds: int = 4) -> Column:
@@ -88,8 +92,11 @@ class Model:
         return e / e.sum(axis=1, keepdims=True)
 
 
-def train(texts: list[str], labels: list[str], buckets: int = 1 << 14, width: int = 16, epochs: int = 4, rate: float = 0.5, reject: float = 0.0, seed: int = 7) -> Model:
-    """Stochastic gradient descent over single texts; every tenth text is left out for calibration."""
+def train(texts: list[str], labels: list[str], buckets: int = 1 << 14, width: int = 16, epochs: int = 4, rate: float = 0.5, reject: float | None = 0.0, seed: int = 7) -> Model:
+    """Stochastic gradient descent over single texts; every tenth text is left out for calibration.
+
+    With ``reject`` None the threshold is derived from the calibration rows.
+    """
     rng = np.random.default_rng(seed)
     names = sorted(set(labels))
     y = np.array([names.index(x) for x in labels])
@@ -122,7 +129,7 @@ def train(texts: list[str], labels: list[str], buckets: int = 1 << 14, width: in
             w -= lr * np.outer(v, p)
             b -= lr * 0.1 * p
             e[ids] -= lr * 10 * share[:, None] * back[None, :]
-    model = Model(names, e @ w, b, 1.0, reject)
+    model = Model(names, e @ w, b, 1.0, reject or 0.0)
     cal = [i for i in np.flatnonzero(hold) if len(bags[i][0])] or [i for i in learn if len(bags[i][0])]
     z = np.array([bags[i][1] @ model.table[bags[i][0]] + b for i in cal]).reshape(-1, len(names))
 
@@ -133,6 +140,10 @@ def train(texts: list[str], labels: list[str], buckets: int = 1 << 14, width: in
 
     if len(cal):
         model.temperature = float(min(np.geomspace(0.05, 20, 61), key=loss))
+        if reject is None:
+            best = 1 / np.exp((z - z.max(axis=1, keepdims=True)) / model.temperature).sum(axis=1)
+            # Below 1 by more than the rounding of probabilities.
+            model.reject = min(float(np.quantile(best, REJECTED, method="lower")), 1 - 1e-12)
     return model
 
 
@@ -146,7 +157,7 @@ def sample(docs: DataFrame, per_label: int, sample_rows: int, sample_chars: int,
     return [r["text"] for r in got], [r["label"] for r in got]
 
 
-def fit(docs: DataFrame, per_label: int = 700, sample_rows: int = 6000, sample_chars: int = 20_000, reject: float = 0.0, text: str = "text", label: str = "lang", key: str = "doc_id") -> Model | None:
+def fit(docs: DataFrame, per_label: int = 700, sample_rows: int = 6000, sample_chars: int = 20_000, reject: float | None = None, text: str = "text", label: str = "lang", key: str = "doc_id") -> Model | None:
     """Train on a bounded sample; None if no row is labelled."""
     texts, labels = sample(docs, per_label, sample_rows, sample_chars, text, label, key)
     return train(texts, labels, reject=reject) if texts else None

@@ -63,7 +63,7 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return language.identify(docs, language.fit(docs))
+    return language.identify(docs, language.fit(docs, reject=0.0))  # und is for texts without letters only
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -261,3 +261,12 @@ def test_op10_takes_added_tokens_as_the_library_does(spark, tmp_path):
         at += len(ids)
     assert t.encode(texts[0], add_special_tokens=False).ids == [50256, 257]
     assert sorted(map(tuple, queries.op10_token_files(spark, str(tmp_path)).collect())) == want
+
+
+def test_language_rejection(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where(F.col("text").rlike(r"\p{L}"))
+    model = language.fit(docs.where("lang != 'fr'"))
+    got = language.identify(docs, model).join(docs.select("doc_id", "lang"), "doc_id").where("held_out")
+    share = {r["strange"]: r["und"] for r in got.groupBy((F.col("lang") == "fr").alias("strange")).agg(F.avg((F.col("lang_pred") == "und").cast("int")).alias("und")).collect()}
+    assert 0 < model.reject < 1 and share[True] > 0.8 and share[False] < 0.05
+    assert language.fit(docs, reject=0.0).reject == 0
