@@ -93,3 +93,10 @@ def test_wiki_plain_text_of_deep_templates(spark, tmp_path):
     spark.createDataFrame(pages, "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
     got = registry.queries()["wiki_plain_text"](spark, str(tmp_path)).collect()
     assert {r["page_id"]: r["text"] for r in got} == dict.fromkeys((1, 5, 20), "a x b[1][1] x")
+
+
+def test_checksums_of_missing_files(spark):
+    listed = spark.createDataFrame([("a", "AA"), ("b", "bb"), ("c", "cc"), ("1", "11")], "name string, sha256 string")
+    there = spark.createDataFrame([("a", "aa", 5), ("b", "xx", 6), ("1", "11", 7), ("d", "dd", 8)], "name string, found string, size long")
+    got = {r["name"]: (r["status"], r["size"]) for r in downloads.verified(listed, there).collect()}
+    assert got == {"a": ("ok", 5), "b": ("mismatch", 6), "c": ("missing", 0), "1": ("ok", 7)}
