@@ -41,7 +41,7 @@ from .components import components
 from .kernels import U, let_go, mix64, shingle_sets, text_chunks
 from .scratch import TEXT_ROWS, small, stored
 
-#: Ratio of a band's largest to its smallest size.
+#: Ratio of a band's largest to its smallest size, or more where linked sets can differ more in size.
 BAND = (3, 2)
 #: Bits of an odd sketch: each element flips one.  Sketches differ in at most as many bits as their sets in elements.
 SKETCH = 2048
@@ -65,18 +65,23 @@ class Similarity:
         return (a + b) * (self.den - self.num) // (self.den + self.num)
 
 
+def band_end(low: int, sim: Similarity) -> int:
+    """Largest size of the band that begins at ``low``; linked sets lie in one band or in neighbouring ones."""
+    return max(low, low * BAND[0] // BAND[1], sim.largest(low))
+
+
 @cache
 def instances(n: int, sim: Similarity) -> tuple[tuple[int, int, int], ...]:
     """(seed, partitions, slack) of each instance that a set of size ``n`` takes part in."""
     low, band, bands = 1, 0, []
     while True:
-        high = max(low, low * BAND[0] // BAND[1])
+        high = band_end(low, sim)
         bands.append((low, high))
         if n <= high:
             break
         low, band = high + 1, band + 1
     low, high = bands[-1]
-    following = max(high + 1, (high + 1) * BAND[0] // BAND[1])
+    following = band_end(high + 1, sim)
     todo = [(2 * band, sim.differ(high, high))]
     if sim.largest(n) > high:
         todo.append((2 * band + 1, sim.differ(high, min(following, sim.largest(high)))))

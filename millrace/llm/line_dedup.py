@@ -109,7 +109,7 @@ def _emit(counts: np.ndarray, sim: Similarity):
                 new = np.array([k not in seen for k in unique.tolist()], bool)
                 seen.update(unique[new].tolist())
                 pick = where[new]
-                pick = pick[sizes[pick] * sim.den // sim.num > sim.num]  # smaller sets meet only their equals
+                pick = pick[sizes[pick] * sim.den // sim.num > sizes[pick]]  # smaller sets meet only their equals
                 if not len(pick):
                     continue
                 size = sizes[pick]

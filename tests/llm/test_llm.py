@@ -270,3 +270,30 @@ def test_language_rejection(spark):
     share = {r["strange"]: r["und"] for r in got.groupBy((F.col("lang") == "fr").alias("strange")).agg(F.avg((F.col("lang_pred") == "und").cast("int")).alias("und")).collect()}
     assert 0 < model.reject < 1 and share[True] > 0.8 and share[False] < 0.05
     assert language.fit(docs, reject=0.0).reject == 0
+
+
+@pytest.mark.parametrize("num, den", [(1, 2), (3, 5), (1, 3)])
+def test_signature_instances_of_lower_similarities(num, den):
+    sim = jaccard_join.Similarity(num, den)
+    seeds = {n: {s: (p, k) for s, p, k in jaccard_join.instances(n, sim)} for n in range(1, 150)}
+    for a in seeds:
+        for b in range(a + 1, min(sim.largest(a), 149) + 1):
+            shared = set(seeds[a]) & set(seeds[b])
+            assert any(seeds[a][s] == seeds[b][s] and seeds[a][s][0] - sim.differ(a, b) > seeds[a][s][1] for s in shared), (a, b)
+
+
+def test_near_groups_at_one_half(spark):
+    words = lambda a, n: " ".join(f"w{i}" for i in range(a, a + n))
+    texts = [words(0, 10), words(0, 16), words(100, 10), words(100, 17), words(200, 7), words(200, 10), words(300, 5), words(300, 6)]  # 6 and 12, 6 and 13, 3 and 6, 1 and 2 shingles
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.near_groups(docs, jaccard_join.Similarity(1, 2)).collect()}
+    assert got == {0: 0, 1: 0, 2: 2, 3: 3, 4: 4, 5: 4, 6: 6, 7: 6}
+
+
+def test_line_dedup_at_other_similarities(spark):
+    texts = ["a b c", "a b c d", "p q r s t", "p q r s", "x y", "x z"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = [set(t.split()) for t in texts]
+    for num, den in ((80, 100), (7, 10)):
+        want = {j for j in range(len(sets)) if any(den * len(sets[i] & sets[j]) >= num * len(sets[i] | sets[j]) for i in range(j))}
+        assert {r["doc_id"] for r in line_dedup.removed_lines(docs, jaccard_join.Similarity(num, den, 1)).collect()} == want, (num, den)
