@@ -62,8 +62,8 @@ class Powers:
 POWERS = Powers()
 
 
-def text_chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """``(first row, last row, bytes, offsets)`` of runs of rows; nulls are empty."""
+def text_chunks(column: pa.Array, size: int = CHUNK) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """``(first row, last row, bytes, offsets)`` of runs of rows of about ``size`` bytes; nulls are empty."""
     column = column.cast(pa.large_string()).fill_null("")
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -74,7 +74,7 @@ def text_chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nda
     data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
     row = 0
     while row < n:
-        to = max(row + 1, int(np.searchsorted(offsets, offsets[row] + CHUNK, "right")) - 1)
+        to = max(row + 1, int(np.searchsorted(offsets, offsets[row] + size, "right")) - 1)
         to = min(to, n)
         yield row, to, data[offsets[row] : offsets[to]], offsets[row : to + 1] - offsets[row]
         row = to

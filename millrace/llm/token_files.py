@@ -8,8 +8,10 @@ the tail, picks the frames of the wanted documents and decompresses only
 those.
 
 Documents stand in ascending id order across the files (null ids first, equal
-ids by hash of the text).  A null text is empty; every document ends with the
-end id, so none is without ids.  Executors write to the shared folder under a
+ids by hash of the text; repeated rows stand side by side).  A null text is
+empty; every document ends with the end id, so none is without ids.  A long
+text is one run and one frame of its own.  An empty table gives no files.
+Other columns, whatever their names, are not read.  Executors write to the shared folder under a
 name of the attempt and then rename, so a task that runs again leaves the same
 file.
 """
@@ -17,6 +19,7 @@ file.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -35,14 +38,24 @@ from .scratch import TEXT_ROWS, new_path, stored
 
 FRAME_IDS = 1 << 18
 INDEX_MAGIC, TABLE_MAGIC, TABLE_FOOT = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
-CACHED_PIECES = 400_000
+#: Pieces of text whose ids an encoder keeps, and bytes of text that it takes at a time.
+CACHED_PIECES, RUN_BYTES = 400_000, 4 << 20
 
-_ALNUM = np.zeros(256, bool)
-_ALNUM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
-_PUNCT = np.zeros(256, bool)
-_PUNCT[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
 #: UTF-8 of white space beyond ASCII, and ASCII separators that some engines call white space.
 _ODD = tuple(chr(c).encode() for c in (0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
+_IS_SPACE, _IS_ALNUM, _IS_PUNCT, _IS_LEAD = 1, 2, 4, 8
+
+
+def _byte_classes() -> np.ndarray:
+    classes = np.zeros(256, np.uint8)
+    classes[SPACE] = _IS_SPACE
+    classes[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = _IS_ALNUM
+    classes[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = _IS_PUNCT
+    classes[sorted({x[0] for x in _ODD})] |= _IS_LEAD
+    return classes
+
+
+_CLASS = _byte_classes()
 
 
 class Encoder:
@@ -65,51 +78,105 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not added
         tokens = self.tokenizer.get_added_tokens_decoder().values() if added else ()
-        self.whole = (*_ODD, *(t.content.encode() for t in tokens))
-        self.known: dict[str, bytes] = {}
-
-    def _ids(self, pieces: list[str]) -> list[bytes]:
-        if len(self.known) > CACHED_PIECES:
-            self.known.clear()
-        missing = [p for p in pieces if p not in self.known]
-        for a in range(0, len(missing), 10_000):
-            part = missing[a : a + 10_000]
-            for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[p] = np.array(e.ids, "<u4").tobytes()
-        return [self.known[p] for p in pieces]
-
-    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all rows one after another, and where each row's ids begin."""
-        n = len(data)
-        if not n:
-            return np.zeros(0, "<u4"), np.zeros(len(offsets), np.int64)
-        space = SPACE[data]
-        solid = ~space
-        inner = np.zeros(n, bool)
+        self.added = tuple(t.content.encode() for t in tokens)
+        feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.feed = feed[0] if len(feed) == 1 else None
+        # Pieces that line feeds beside them leave as they are: no line feed inside, no added token, and at the ends no
+        # white space but one space before other text.
+        barred = "".join(f"(?!.*{re.escape(t.content)})" for t in tokens)
+        self.between = re.compile(barred + r" ?(?![\s\x1c-\x1f]).*(?<![\s\x1c-\x1f])").fullmatch
+        self._forget()
+
+    def _forget(self) -> None:
+        self.slot: dict[str, int] = {}
+        self.ids = np.zeros(1 << 16, "<u4")
+        self.ends = np.zeros(1, np.int64)
+
+    def _keep(self, pieces: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Note the ids of new pieces."""
+        had = int(self.ends[-1])
+        while len(self.ids) < had + len(ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[had : had + len(ids)] = ids
+        self.slot.update(zip(pieces, range(len(self.ends) - 1, len(self.ends) - 1 + len(pieces))))
+        self.ends = np.append(self.ends, had + np.cumsum(sizes))
+
+    def _apart(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces one after another, and how many each has; every piece is a text of its own."""
+        found = [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        return np.concatenate(found), np.array([len(x) for x in found], np.int64)
+
+    def _joined(self, pieces: list[str], together: int = 300) -> tuple[np.ndarray, np.ndarray]:
+        """As :meth:`_apart`, of pieces that a line feed can stand between without touching their tokens."""
+        texts = ["\n".join(pieces[a : a + together]) + "\n" for a in range(0, len(pieces), together)]
+        flat = np.concatenate([np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+        feeds = flat == self.feed
+        ends = np.flatnonzero(feeds)
+        if len(ends) != len(pieces):
+            return self._apart(pieces)
+        return flat[~feeds], np.diff(ends, prepend=-1) - 1
+
+    def _slots(self, pieces: list[str]) -> np.ndarray:
+        """Where the ids of the pieces are kept; unknown ones are encoded."""
+        slots = np.array([self.slot.get(p, -1) for p in pieces], np.int64)
+        missing = np.flatnonzero(slots < 0)
+        if len(self.slot) + len(missing) > CACHED_PIECES and len(self.slot):
+            known = np.flatnonzero(slots >= 0)  # the pieces of this run are those of the next ones, too
+            sizes = self.ends[slots[known] + 1] - self.ends[slots[known]]
+            ids = self.ids[_ranges(self.ends[slots[known]], sizes)]
+            self._forget()
+            self._keep([pieces[i] for i in known], ids, sizes)
+            slots[known] = np.arange(len(known))
+        new = [pieces[i] for i in missing]
+        apart = [p for p in new if self.feed is None or not self.between(p)]
+        alone = set(apart)
+        joined = [p for p in new if p not in alone] if alone else new
+        for part, encode in ((joined, self._joined), (apart, self._apart)):
+            for a in range(0, len(part), 30_000):
+                self._keep(part[a : a + 30_000], *encode(part[a : a + 30_000]))
+        slots[missing] = [self.slot[p] for p in new]
+        return slots
+
+    def _cuts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Whether a piece begins at each byte."""
+        kind = _CLASS[data]
+        solid = (kind & _IS_SPACE) == 0
+        inner = np.zeros(len(data), bool)
         inner[1:-1] = solid[:-2] & solid[2:]
         line = inner & (data == 0x0A)
         cut = (inner & (data == 0x20)) | line
         cut[1:] |= line[:-1]
-        cut[1:] |= _PUNCT[data[1:]] & _ALNUM[data[:-1]]
+        cut[1:] |= (kind[1:] == _IS_PUNCT) & (kind[:-1] == _IS_ALNUM)
         raw = data.tobytes()
-        if any(x in raw for x in self.whole):
-            for a, b in zip(offsets[:-1], offsets[1:]):
-                if any(x in raw[a:b] for x in self.whole):
-                    cut[a:b] = False
-        edge = offsets[:-1][offsets[:-1] < n]
-        cut[edge] = True
-        starts = np.flatnonzero(cut)
-        bounds = np.append(starts, n).astype(np.int64)
-        pieces = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(bounds), pa.py_buffer(raw)).dictionary_encode()
-        ids = self._ids(pieces.dictionary.to_pylist())
-        flat, lengths = np.frombuffer(b"".join(ids), "<u4"), np.array([len(x) >> 2 for x in ids], np.int64)
-        which = pieces.indices.to_numpy()
-        size = lengths[which]
-        ends = np.cumsum(size)
-        begin = np.cumsum(lengths) - lengths
-        out = flat[np.repeat(begin[which] - (ends - size), size) + np.arange(ends[-1])]
-        before = np.append(0, ends)
-        return out, before[np.searchsorted(starts, offsets)]
+        odd = [at for at in np.flatnonzero(kind & _IS_LEAD).tolist() if raw.startswith(_ODD, at)]
+        for token in self.added:
+            at = raw.find(token)
+            while at >= 0:
+                odd.append(at)
+                at = raw.find(token, at + 1)
+        for row in set((np.searchsorted(offsets, odd, "right") - 1).tolist()):
+            cut[offsets[row] : offsets[row + 1]] = False
+        cut[offsets[:-1][offsets[:-1] < len(data)]] = True
+        return cut
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all rows one after another, and where each row's ids begin."""
+        if not len(data):
+            return np.zeros(0, "<u4"), np.zeros(len(offsets), np.int64)
+        starts = np.flatnonzero(self._cuts(data, offsets))
+        bounds = np.append(starts, len(data)).astype(np.int64)
+        pieces = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(bounds), pa.py_buffer(data)).dictionary_encode()
+        slots = self._slots(pieces.dictionary.to_pylist())[pieces.indices.to_numpy()]
+        begin = self.ends[slots]
+        size = self.ends[slots + 1] - begin
+        before = np.append(0, np.cumsum(size))
+        return self.ids[_ranges(begin, size)], before[np.searchsorted(starts, offsets)]
+
+
+def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The positions of runs, one run after another."""
+    ends = np.cumsum(size)
+    return np.repeat(begin - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
 
 
 _encoders: dict[tuple[str, bool], Encoder] = {}
@@ -210,7 +277,7 @@ def _write(folder: str, vocabulary: str, end_id: int, added: bool):
         temp = f"{base}/.{name}.{uuid.uuid4().hex}"
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            for first, _, data, offsets in text_chunks(batch.column(1)):
+            for first, _, data, offsets in text_chunks(batch.column(1), RUN_BYTES):
                 if writer is None:
                     files.create_dir(base, recursive=True)
                     writer = Writer(files.open_output_stream(temp))

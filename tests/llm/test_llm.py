@@ -211,7 +211,7 @@ def test_held_out_accuracy(spark):
     labels = spark.read.parquet(f"{sf}/labels.parquet")
     tox = queries.op8_toxicity(spark, sf).join(labels, "doc_id").where("held_out")
     right = tox.where("predicted = toxic").count()
-    # Some labels are noise: about one toxic label in ten stands at a text without any such word.
+    # The answer 0 throughout is right in 0.88 of them: test_toxicity.py holds the recall of each language.
     assert right > 0.9 * tox.count() and tox.where("predicted = 1 and toxic = 1").count() > 0
 
 
@@ -263,6 +263,21 @@ def test_op10_takes_added_tokens_as_the_library_does(spark, tmp_path):
     assert sorted(map(tuple, queries.op10_token_files(spark, str(tmp_path)).collect())) == want
 
 
+def test_encoder_forgets_and_keeps_odd_pieces_apart(monkeypatch):
+    import pyarrow as pa
+
+    from millrace.llm.kernels import text_chunks
+
+    monkeypatch.setattr(token_files, "CACHED_PIECES", 8)
+    encoder = token_files.Encoder(queries.vocabulary(), added=True)
+    texts = ["a\x1cb", "a b\x1c", "\x1c x", "a   b", "x<|endoftext|>", " x", "a\n\n b", " \n", " a  b\t", "<|endoftext|>\n", "'s 't", "a's\n's", "", "one two three, four. five six seven eight nine", "\u2003x\ny"] * 2
+    for size in (1, 40, 1 << 20):
+        for first, _, data, offsets in text_chunks(pa.array(texts), size):
+            ids, at = encoder.encode(data, offsets)
+            for i, (a, b) in enumerate(zip(at[:-1], at[1:]), first):
+                assert ids[a:b].tolist() == encoder.tokenizer.encode(texts[i], add_special_tokens=False).ids, texts[i]
+
+
 def test_language_rejection(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where(F.col("text").rlike(r"\p{L}"))
     model = language.fit(docs.where("lang != 'fr'"))
