@@ -7,9 +7,17 @@ inside an exception phrase does not count.  Weighted matches are counted, and
 normalised by the number of words; a logistic model of both, fitted on a
 bounded sample of labelled rows, gives the score.
 
-The lexicon starts from a fixed list; words that mark labelled rows as
-strongly are learned from the sample and weighted by their log-odds.  A null or
-empty text has no matches and gets the score of such texts.
+The lexicon starts from a fixed list.  Words, and beginnings that families of
+inflected words share, are learned from the sample and weighted by their
+log-odds; each must hold in both halves of the sample, so that chance entries
+fall out, and needs a fixed number of toxic texts, not a share, so that rare
+languages count.  A beginning matches at the start of a longer word.
+
+A null or empty text has no matches and gets the score of such texts.  A long
+text is scored whole.  Repeated rows get equal scores; a score equal to the
+threshold is toxic.  An empty table gives an empty result; without labelled
+rows the fixed list is used with fixed coefficients.  Other columns, whatever
+their names, are not read and are passed through unchanged.
 """
 
 from __future__ import annotations
@@ -18,7 +26,7 @@ import math
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -70,50 +78,62 @@ def fold(text: str) -> str:
 
 
 class Matcher:
-    """Finds lexicon words that stand alone and outside exception phrases."""
+    """Finds lexicon words that stand alone, and words with a lexicon beginning, outside exception phrases.
 
-    def __init__(self, weights: dict[str, float], exceptions: Iterable[str]) -> None:
+    A word counts once, with the greatest weight of its entries.
+    """
+
+    def __init__(self, weights: dict[str, float], exceptions: Iterable[str], beginnings: dict[str, float] | None = None) -> None:
         import ahocorasick
 
-        self.automaton = ahocorasick.Automaton()
-        for word, w in weights.items():
-            self.automaton.add_word(fold(word), (len(fold(word)), w))
+        entries: dict[str, list[float | None]] = {}  # weight as a word, as a beginning, and whether it is an exception
+        for given, slot in ((weights, 0), (beginnings or {}, 1)):
+            for word, weight in given.items():
+                entries.setdefault(fold(word), [None, None, None])[slot] = weight
         for phrase in exceptions:
-            if fold(phrase) not in weights:
-                self.automaton.add_word(fold(phrase), (len(fold(phrase)), None))
+            entries.setdefault(fold(phrase), [None, None, None])[2] = 1.0
+        self.automaton = ahocorasick.Automaton()
+        for word, kinds in entries.items():
+            self.automaton.add_word(word, (len(word), *kinds))
         self.automaton.make_automaton()
 
     def find(self, text: str) -> tuple[float, int]:
         """Sum of weights, and number, of the matches in a folded text."""
-        hits, shields = [], []
-        for end, (size, w) in self.automaton.iter(text):
-            a, b = end - size + 1, end + 1
-            if (a == 0 or not text[a - 1].isalnum()) and (b == len(text) or not text[b].isalnum()):
-                (shields if w is None else hits).append((a, b, w))
-        if shields:
-            at, kept = 0, []
-            shields.sort()
-            for a, b, w in sorted(hits):
-                while at < len(shields) and shields[at][1] < b:
-                    at += 1
-                if not any(s[0] <= a and b <= s[1] for s in shields[at : at + 4]):
-                    kept.append((a, b, w))
-            hits = kept
-        return sum(h[2] for h in hits), len(hits)
+        hits: dict[int, tuple[int, float]] = {}  # by start: end and weight
+        shields = []
+        for last, (size, word, beginning, exception) in self.automaton.iter(text):
+            start, end = last - size + 1, last + 1
+            if start and text[start - 1].isalnum():
+                continue
+            ends = end == len(text) or not text[end].isalnum()
+            weight = word if ends else beginning
+            if weight is not None and (start not in hits or hits[start][1] < weight):
+                hits[start] = (end, weight)
+            if ends and exception is not None and word is None:
+                shields.append((start, end))
+        kept, shields, at, reach = [], sorted(shields), 0, 0
+        for start in sorted(hits):
+            while at < len(shields) and shields[at][0] <= start:  # the farthest end of all phrases that begin by here
+                reach = max(reach, shields[at][1])
+                at += 1
+            if hits[start][0] > reach:
+                kept.append(hits[start][1])
+        return sum(kept), len(kept)
 
 
 @dataclass
 class ToxicityModel:
-    """Lexicon weights and the logistic coefficients (bias, log count, density)."""
+    """Weights of words and of beginnings, and the logistic coefficients (bias, log count, density)."""
 
     weights: dict[str, float]
     coefficients: list[float]
+    beginnings: dict[str, float] = field(default_factory=dict)
     exceptions: tuple[str, ...] = EXCEPTIONS
     matcher: Matcher | None = field(default=None, repr=False)
 
     def features(self, text: str | None) -> list[float]:
         if self.matcher is None:
-            self.matcher = Matcher(self.weights, self.exceptions)
+            self.matcher = Matcher(self.weights, self.exceptions, self.beginnings)
         folded = fold(text or "")
         total, _ = self.matcher.find(folded)
         return self.shape(total, folded)
@@ -132,27 +152,76 @@ class ToxicityModel:
 
 
 _WORD = re.compile(r"[^\W\d_]{3,}")
-
-
-def learn(texts: list[str], toxic: list[int], share: float = 0.1, odds: float = 12.0) -> ToxicityModel:
-    """Lexicon and coefficients from labelled texts.
-
-    A word is learned if it stands in at least ``share`` of the toxic texts
-    (ten at least) and is ``odds`` times as frequent among them.
-    """
-    folded = [fold(t) for t in texts]
+#: Letters of a learned beginning, and what an entry needs: toxic texts in each half of the sample, times as frequent
+#: in toxic texts, and standard errors of its log-odds above 0; a beginning also needs that many forms.
+LETTERS, LEAST_TEXTS, LEAST_ODDS, LEAST_ERRORS, LEAST_FORMS = (4, 10), 3, 8.0, 3.0, 4
+
+
+def _weight(odds: float) -> float:
+    return min(2.0, max(0.25, math.log(max(odds, 1.0)) / math.log(100)))
+
+
+def _learned(halves: list[list[tuple[list[str], int]]], entries: Callable[[str], Iterable[str]]) -> dict[str, float]:
+    """Entries that stand much more often in toxic texts, in every half, with their least odds."""
+    odds: dict[str, float] = {}
+    for nth, half in enumerate(halves):
+        times, texts, total = (Counter(), Counter()), Counter(), [1, 1]
+        for words, label in half:
+            found = Counter(e for w in words for e in entries(w))
+            times[label].update(found)
+            total[label] += len(words)
+            if label:
+                texts.update(found.keys())
+        now = {}
+        for entry, n in texts.items():
+            if n >= LEAST_TEXTS and (nth == 0 or entry in odds):
+                often, seldom = times[1][entry] + 0.5, times[0][entry] + 0.5
+                ratio = (often / total[1]) / (seldom / total[0])
+                # Repeats within a text are no further evidence: the error goes by texts.
+                if ratio >= LEAST_ODDS and math.log(ratio) >= LEAST_ERRORS * math.sqrt(1 / n + 1 / max(seldom, n / ratio)):
+                    now[entry] = min(ratio, odds.get(entry, ratio))
+        odds = now
+    return odds
+
+
+def _starts(word: str) -> Iterator[str]:
+    """Beginnings of a word, shorter than the word."""
+    return (word[:k] for k in range(LETTERS[0], min(LETTERS[1], len(word) - 1) + 1))
+
+
+def lexicon(texts: list[list[str]], toxic: list[int]) -> tuple[dict[str, float], dict[str, float]]:
+    """Weights of the words and of the beginnings, from the words of labelled texts."""
+    halves = [list(zip(texts, toxic))[k::2] for k in (0, 1)]
     seen: dict[int, Counter] = {0: Counter(), 1: Counter()}
-    for text, label in zip(folded, toxic):
-        seen[label].update(set(_WORD.findall(text)))
+    for words, label in zip(texts, toxic):
+        seen[label].update(set(words))
     many = {k: max(1, sum(1 for x in toxic if x == k)) for k in (0, 1)}
-    weights = {}
-    for word in {*INSULTS, *(w for w, n in seen[1].items() if n >= max(10, share * many[1]))}:
-        ratio = ((seen[1][word] + 0.5) / many[1]) / ((seen[0][word] + 0.5) / many[0])
-        if word in INSULTS and seen[1][word] + seen[0][word] < 10:
+    weights = {w: _weight(odds) for w, odds in _learned(halves, lambda w: (w,)).items()}
+    for word in INSULTS:
+        if seen[1][word] + seen[0][word] < 10:
             weights[word] = 1.0
-        elif ratio >= odds or word in INSULTS and ratio > 2:
-            weights[word] = min(2.0, max(0.25, math.log(ratio) / math.log(100)))
-    model = ToxicityModel(weights, [-3.0, 3.0, 1.0])
+        elif (ratio := ((seen[1][word] + 0.5) / many[1]) / ((seen[0][word] + 0.5) / many[0])) > 2:
+            weights[word] = _weight(ratio)
+    # What the words cover already tells nothing of beginnings.
+    halves = [[([w for w in words if w not in weights], label) for words, label in half] for half in halves]
+    forms: dict[str, set[str]] = {}
+    for half in halves:
+        for words, label in half:
+            for word in set(words) if label else ():
+                for start in _starts(word):
+                    forms.setdefault(start, set()).add(word)
+    found = {s: odds for s, odds in _learned(halves, _starts).items() if len(forms[s]) >= LEAST_FORMS}
+    beginnings: dict[str, float] = {}
+    for start in sorted(found, key=lambda s: (-found[s] * len(forms[s]), s)):  # of nested ones the best stays
+        if not any(start.startswith(b) or b.startswith(start) for b in beginnings):
+            beginnings[start] = _weight(found[start])
+    return weights, beginnings
+
+
+def learn(texts: list[str], toxic: list[int]) -> ToxicityModel:
+    """Lexicon and coefficients from labelled texts."""
+    weights, beginnings = lexicon([_WORD.findall(fold(t)) for t in texts], toxic)
+    model = ToxicityModel(weights, [-3.0, 3.0, 1.0], beginnings)
     y = np.array(toxic, float)
     if len(set(toxic)) == 2:
         x = np.array([model.features(t) for t in texts])
