@@ -67,10 +67,10 @@ def find_hits(docs: DataFrame, items: DataFrame, text: str = "text", item: str =
     met = window_marks(body).select("text_key", F.lit(WINDOW).alias("len"), F.posexplode_outer("marks").alias("at", "mark"))
     for length in short_lengths:
         met = met.unionByName(body.select("text_key", F.lit(length).alias("len"), F.posexplode_outer(_short_marks("words", length)).alias("at", "mark")))
-    spots = met.join(small(marks, 40), ["len", "mark"], "left_semi").groupBy("text_key").agg(F.collect_set(F.struct("len", "at")).alias("spots"))
+    spots = met.join(small(marks), ["len", "mark"], "left_semi").groupBy("text_key").agg(F.collect_set(F.struct("len", "at")).alias("spots"))
     spots = stored(spots, "spots")
 
-    near = docs.where(F.col(text).isNotNull()).select(F.md5(F.col(text)).alias("text_key"), F.col(text).alias("body")).join(small(spots, 400), "text_key")
+    near = docs.where(F.col(text).isNotNull()).select(F.md5(F.col(text)).alias("text_key"), F.col(text).alias("body")).join(small(spots), "text_key")
     cut = F.transform("spots", lambda s: F.struct(s["len"].alias("len"), s["at"].alias("at"), _gram(F.col("words"), s["at"], s["len"]).alias("gram")))
     # Named twice, the words are not inlined into the lambda, which would split the text for every spot.
     near = near.withColumn("words", plain_words(F.col("body"))).select("text_key", F.explode_outer(F.when(F.size("words") > 0, cut)).alias("s"))
@@ -84,7 +84,7 @@ def find_hits(docs: DataFrame, items: DataFrame, text: str = "text", item: str =
 
 def decontaminate(docs: DataFrame, items: DataFrame, least_items: int = 2, text: str = "text", key: str = "doc_id", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row per document: ``doc_id, n_words, n_hit, n_items, items, contaminated``."""
-    found = small(find_hits(docs, items, text, item, item_text), 400)
+    found = small(find_hits(docs, items, text, item, item_text))
     rows = docs.select(F.col(key).alias("doc_id"), count_words(F.col(text), NOT_PLAIN_ANY_CASE).alias("n_words"), F.md5(F.col(text)).alias("text_key"))
     met = rows.join(found, "text_key", "left")
     listed = F.coalesce("items", F.array().cast("array<string>"))
@@ -96,4 +96,4 @@ def decontaminate(docs: DataFrame, items: DataFrame, least_items: int = 2, text:
 def without_contaminated(docs: DataFrame, items: DataFrame, least_items: int = 2, text: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, whose text holds windows of fewer than ``least_items`` items."""
     bad = stored(find_hits(docs, items, text).where(F.size("items") >= least_items).select(F.col("text_key").alias("bad_key")), "bad")
-    return docs.join(small(bad, 48), F.md5(F.col(text)) == F.col("bad_key"), "left_anti")
+    return docs.join(small(bad), F.md5(F.col(text)) == F.col("bad_key"), "left_anti")

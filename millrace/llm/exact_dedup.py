@@ -38,7 +38,7 @@ def possibly_repeated(rows: DataFrame, bits_per_row: int = 16) -> DataFrame:
     out = rows
     for k in (0, 1):
         half = words.where(F.col("k") == k).select(F.col("word").alias(f"word{k}"), F.col("mask").alias(f"mask{k}"))
-        out = out.withColumn(f"slot{k}", _slot(bits, k)).withColumn(f"word{k}", F.shiftright(f"slot{k}", 6)).join(small(half, 24), f"word{k}", "left")
+        out = out.withColumn(f"slot{k}", _slot(bits, k)).withColumn(f"word{k}", F.shiftright(f"slot{k}", 6)).join(small(half), f"word{k}", "left")
     bit = [F.expr(f"(shiftrightunsigned(coalesce(mask{k}, 0L), cast(slot{k} & 63 as int)) & 1L) = 1L") for k in (0, 1)]
     return out.select(*rows.columns, (bit[0] & bit[1]).alias("maybe"))
 
@@ -58,7 +58,7 @@ def exact_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", bits_p
     suspects = stored(tested.where("maybe").drop("maybe"), "suspects")
     groups = suspects.groupBy("digest").agg(F.count("*").alias("group_size"), F.max(F.struct("doc_id", "uid")).alias("best"))
     groups = stored(groups.where("group_size > 1"), "groups")
-    met = suspects.join(small(groups, 96), "digest", "left")
+    met = suspects.join(small(groups), "digest", "left")
     result = met.select(
         "doc_id",
         F.when(F.col("best").isNull(), F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("keep_id"),

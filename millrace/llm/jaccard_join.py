@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .kernels import U, let_go, mix64, shingle_sets, text_chunks
-from .scratch import TEXT_ROWS, small, stored
+from .scratch import TEXT_ROWS, fits, small, stored
 
 #: Ratio of a band's largest to its smallest size, or more where linked sets can differ more in size.
 BAND = (3, 2)
@@ -205,35 +205,46 @@ def _sets(sim: Similarity):
                 for a in range(0, len(sets), 500):
                     part = sets[a : a + 500]
                     ends = np.cumsum([0] + [len(h) for h in part]).astype(np.int32)
-                    flat = np.concatenate(part).view(np.int64)
-                    bits = (np.repeat(np.arange(len(part)), np.diff(ends)) * SKETCH + (mix64(flat.view(U)) % U(SKETCH)).astype(np.int64))
-                    odd = np.packbits(np.bincount(bits, minlength=len(part) * SKETCH) & 1).view(np.int64)
-                    sketch = pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1, dtype=np.int32) * (SKETCH // 64)), pa.array(odd))
-                    yield pa.RecordBatch.from_arrays([pa.array(keys[a : a + 500]), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), sketch], ["key", "shingles", "sketch"])
+                    flat = np.concatenate(part)
+                    yield pa.RecordBatch.from_arrays([pa.array(keys[a : a + 500]), pa.array(np.diff(ends)), odd_sketches(flat, ends, SKETCH), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))], ["key", "n", "sketch", "shingles"])
 
     return run
 
 
 def _beside(pairs: DataFrame, sets: DataFrame, column: str, chunk: int = 256) -> DataFrame:
-    """``pairs`` with a column of both sets, ``xa`` and ``xb``.  A set paired very often is given out in several copies."""
-    load = pairs.groupBy("b").agg(F.ceil(F.count("*") / chunk).cast("int").alias("copies"))
-    right = sets.join(load, sets["key"] == load["b"]).select("b", F.explode_outer(F.sequence(F.lit(0), F.col("copies") - 1)).alias("salt"), F.col(column).alias("xb"))
-    salted = pairs.join(load, "b").withColumn("salt", F.pmod(F.xxhash64("a"), F.col("copies")).cast("int"))
+    """``pairs`` (a table) with a column of both sets, ``xa`` and ``xb``.  A set paired very often is given out in several copies."""
+    often = pairs.groupBy("b").agg(F.ceil(F.count("*") / chunk).cast("int").alias("copies")).where("copies > 1")
+    often = small(stored(often.select(F.col("b").alias("hot"), "copies"), "often"))
+    copies = F.coalesce("copies", F.lit(1))
+    right = sets.join(often, sets["key"] == F.col("hot"), "left").select(F.col("key").alias("b"), F.explode_outer(F.sequence(F.lit(0), copies - 1)).alias("salt"), F.col(column).alias("xb"))
+    salted = pairs.join(often, pairs["b"] == F.col("hot"), "left").select(*pairs.columns, F.pmod(F.xxhash64("a"), copies).cast("int").alias("salt"))
     return salted.join(right, ["b", "salt"]).join(sets.select(F.col("key").alias("a"), F.col(column).alias("xa")), "a")
 
 
+def odd_sketches(flat: np.ndarray, ends: np.ndarray, bits: int) -> pa.Array:
+    """One sketch per set, as a list of 64-bit words: each element flips a bit.  ``flat`` holds the sets one after another."""
+    count = len(ends) - 1
+    at = np.repeat(np.arange(count), np.diff(ends)) * bits + (mix64(flat) % U(bits)).astype(np.int64)
+    odd = np.packbits(np.bincount(at, minlength=count * bits) & 1).view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(np.arange(count + 1, dtype=np.int32) * (bits // 64)), pa.array(odd))
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, sim: Similarity) -> DataFrame:
-    """Of ``pairs`` (a, b) those whose sets link.
+    """Of ``pairs`` (a, b; a table) those whose sets link.
 
-    With a column ``sketch`` in ``sets`` and sizes ``na`` and ``nb`` in
-    ``pairs``, pairs whose sketches differ too much are ruled out first.
+    With columns ``sketch`` and ``n`` in ``sets``, pairs whose sketches differ
+    too much are ruled out first, so that only the sets of the others move.
     """
     if "sketch" in sets.columns:
-        differ = F.aggregate(F.zip_with("xa", "xb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
-        near = _beside(pairs, sets, "sketch").where(differ * (sim.den + sim.num) <= (F.col("na") + F.col("nb")) * (sim.den - sim.num))
+        brief = sets.select("key", F.struct("n", "sketch").alias("brief"))
+        differ = F.aggregate(F.zip_with("xa.sketch", "xb.sketch", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+        near = _beside(pairs, brief, "brief").where(differ * (sim.den + sim.num) <= (F.col("xa.n") + F.col("xb.n")) * (sim.den - sim.num))
         pairs = stored(near.select("a", "b").distinct(), "close")
+        keys = stored(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "keys")
+        if fits(keys):
+            sets = sets.join(F.broadcast(keys), "key", "left_semi")
     both = F.size(F.array_intersect("xa", "xb"))
-    return _beside(pairs, sets, "shingles").where(both * sim.den >= (F.size("xa") + F.size("xb") - both) * sim.num).select("a", "b")
+    return _beside(pairs, sets.select("key", "shingles"), "shingles").where(both * sim.den >= (F.size("xa") + F.size("xb") - both) * sim.num).select("a", "b")
 
 
 def grouped(docs: DataFrame, sim: Similarity, text: str, key: str) -> tuple[DataFrame, DataFrame]:
@@ -245,25 +256,25 @@ def grouped(docs: DataFrame, sim: Similarity, text: str, key: str) -> tuple[Data
     shared = table.where("kind = 0").select("sig", "key", "n", "spare", "instance")
     # Linked sets share more signatures of an instance than either has to spare; a set with fewer shared ones has no link there.
     enough = shared.groupBy("key", "instance").agg(F.count("*").cast("int").alias("c"), F.max("spare").alias("s")).where("c > s").select("key", "instance", "c")
-    shared = stored(shared.join(small(stored(enough, "enough"), 32), ["key", "instance"]), "shared")
+    shared = stored(shared.join(small(stored(enough, "enough")), ["key", "instance"]), "shared")
     fits = lambda a, b: F.expr(f"{sim.num} * {a} <= {sim.den} * {b} and {sim.num} * {b} <= {sim.den} * {a}")
 
     def stars(rows: DataFrame, order: Column) -> DataFrame:
         """Each set of a group with the group's head, the greatest by ``order``, if they lie in different components."""
         heads = rows.groupBy("sig").agg(F.max(F.struct(order.alias("o"), "key", "n", "root")).alias("head"), F.count("*").alias("c")).where("c > 1")
         met = rows.join(heads.select("sig", F.col("head.key").alias("b"), F.col("head.n").alias("nb"), F.col("head.root").alias("rb")), "sig").where("root != rb")
-        return stored(met.where(fits("n", "nb")).select(F.col("key").alias("a"), "b", F.col("n").alias("na"), "nb").distinct(), "pairs")
+        return stored(met.where(fits("n", "nb")).select(F.col("key").alias("a"), "b").distinct(), "pairs")
 
     def rooted(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Components, and the signatures of groups that span several, with the group's size."""
         roots = stored(components(edges), "roots")
-        own = shared.join(small(roots.select(F.col("node").alias("key"), "root"), 24), "key", "left").withColumn("root", F.coalesce("root", "key"))
+        own = shared.join(small(roots.select(F.col("node").alias("key"), "root")), "key", "left").withColumn("root", F.coalesce("root", "key"))
         groups = own.groupBy("sig").agg(F.count("*").alias("often"), (F.min("root") != F.max("root")).alias("open"))
         return roots, stored(own.join(groups, "sig"), "groups")
 
     wanted = stored(shared.select("key").distinct(), "wanted")
-    marks = stored(nodes.join(small(wanted, 16), "key", "left_semi").groupBy("key").agg(F.min(F.struct("mark", "doc_id")).alias("one")).select("one.*"), "marks").select(F.col("mark").alias("m"), F.col("doc_id").alias("d"))
-    sets = rows.join(small(marks, 24), (F.col("mark") == F.col("m")) & F.col("doc_id").eqNullSafe(F.col("d")), "left_semi").select("body").mapInArrow(_sets(sim), "key long, shingles array<long>, sketch array<long>")
+    marks = stored(nodes.join(small(wanted), "key", "left_semi").groupBy("key").agg(F.min(F.struct("mark", "doc_id")).alias("one")).select("one.*"), "marks").select(F.col("mark").alias("m"), F.col("doc_id").alias("d"))
+    sets = rows.join(small(marks), (F.col("mark") == F.col("m")) & F.col("doc_id").eqNullSafe(F.col("d")), "left_semi").select("body").mapInArrow(_sets(sim), "key long, n int, sketch array<long>, shingles array<long>")
     sets = stored(sets, "sets", batch_rows=TEXT_ROWS)
     if sets.count() > sets.select("key").distinct().count():  # rows equal in id and text
         sets = stored(sets.dropDuplicates(["key"]), "sets")
@@ -272,7 +283,7 @@ def grouped(docs: DataFrame, sim: Similarity, text: str, key: str) -> tuple[Data
         for _ in range(rounds):
             rows = rows.where("open")
             more = rows.groupBy("key", "instance").agg(F.count("*").alias("c"), F.max("spare").alias("s")).where("c > s").select("key", "instance")
-            rows = rows.join(small(stored(more, "enough"), 24), ["key", "instance"], "left_semi").drop("open")
+            rows = rows.join(small(stored(more, "enough")), ["key", "instance"], "left_semi").drop("open")
             spans = rows.groupBy("sig").agg((F.min("root") != F.max("root")).alias("open"))
             rows = stored(rows.join(spans, "sig"), "unsettled")
         return rows
@@ -285,7 +296,7 @@ def grouped(docs: DataFrame, sim: Similarity, text: str, key: str) -> tuple[Data
     # Round 2: what still spans components.
     _, mixed = rooted(edges)
     left = stored(unsettled(mixed).where("open").select("key", "root").distinct(), "open")
-    every = sets.join(small(left, 24), "key").select("key", "root", F.size("shingles").alias("n"), F.explode_outer("shingles").alias("shingle"))
+    every = sets.join(small(left), "key").select("key", "root", F.size("shingles").alias("n"), F.explode_outer("shingles").alias("shingle"))
     often = every.groupBy("shingle").agg(F.count("*").alias("often"))
     rarest = Window.partitionBy("key").orderBy("often", "shingle")
     prefix = every.join(often, "shingle").withColumn("place", F.row_number().over(rarest)).where(F.expr(f"place <= n - ceil(n * {sim.num} / {sim.den}) + 1 and often > 1"))
@@ -293,7 +304,7 @@ def grouped(docs: DataFrame, sim: Similarity, text: str, key: str) -> tuple[Data
     one, two = (prefix.select("shingle", *(F.col(c).alias(c + side) for c in ("key", "n", "root", "place"))) for side in ("1", "2"))
     # At the first shingle that two linked sets share, what follows in both must suffice.
     reach = F.expr(f"(least(n1 - place1, n2 - place2) + 1) * {sim.num + sim.den} >= (n1 + n2) * {sim.num}")
-    more = one.join(two, "shingle").where("root1 < root2").where(fits("n1", "n2")).where(reach).select(F.col("key1").alias("a"), F.col("key2").alias("b"), F.col("n1").alias("na"), F.col("n2").alias("nb")).distinct()
+    more = one.join(two, "shingle").where("root1 < root2").where(fits("n1", "n2")).where(reach).select(F.col("key1").alias("a"), F.col("key2").alias("b")).distinct()
     edges = stored(edges.unionByName(confirmed(stored(more, "pairs"), sets, sim)), "links")
     roots = stored(components(edges), "roots")
 
@@ -308,7 +319,7 @@ def grouped(docs: DataFrame, sim: Similarity, text: str, key: str) -> tuple[Data
 def near_groups(docs: DataFrame, sim: Similarity = Similarity(), text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id``."""
     nodes, named = grouped(docs, sim, text, key)
-    found = nodes.join(small(named.select("key", "component_id"), 24), "key", "left")
+    found = nodes.join(small(named.select("key", "component_id")), "key", "left")
     return found.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
@@ -316,15 +327,15 @@ def one_of_each(docs: DataFrame, sim: Similarity = Similarity(), text: str = "te
     """The rows of ``docs``, all columns: of each group of linked documents that of least id (null last)."""
     nodes, named = grouped(docs, sim, text, key)
     rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mark")
-    members = stored(nodes.join(small(named.select("key", "root"), 24), "key").select("root", rank.alias("rank")), "members")
+    members = stored(nodes.join(small(named.select("key", "root")), "key").select("root", rank.alias("rank")), "members")
     heads = stored(members.groupBy("root").agg(F.min("rank").alias("head")), "heads")
-    judged = members.join(small(heads, 48), "root").withColumn("stays", F.col("rank") == F.col("head"))
+    judged = members.join(small(heads), "root").withColumn("stays", F.col("rank") == F.col("head"))
     drop = stored(judged.where(~F.col("stays")).select(F.col("rank.doc_id").alias("_id"), F.col("rank.mark").alias("_mark")).distinct(), "drop")
     twice = stored(judged.where("stays").groupBy(F.col("rank.doc_id").alias("_id"), F.col("rank.mark").alias("_mark")).count().where("count > 1").select("_id", "_mark"), "twice")
     same = F.col(key).cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_mark"))
-    kept = docs.join(small(drop, 32), same, "left_anti")
+    kept = docs.join(small(drop), same, "left_anti")
     if not twice.isEmpty():  # rows equal in id and text: one of each stays
         first = F.row_number().over(Window.partitionBy("_id", "_mark").orderBy(F.lit(1)))
-        again = kept.join(small(twice, 32), same).withColumn("_nth", first).where("_nth = 1").select(*docs.columns)
-        kept = kept.join(small(twice, 32), same, "left_anti").unionByName(again)
+        again = kept.join(small(twice), same).withColumn("_nth", first).where("_nth = 1").select(*docs.columns)
+        kept = kept.join(small(twice), same, "left_anti").unionByName(again)
     return kept

@@ -152,7 +152,7 @@ def sample(docs: DataFrame, per_label: int, sample_rows: int, sample_chars: int,
     rows = docs.where(F.col(key).isNotNull() & ~held_out(key) & F.col(label).isNotNull() & F.col(text).rlike(r"\p{L}"))
     rows = rows.select(F.col(text).alias("text"), F.col(label).alias("label"), F.xxhash64(text, F.lit("sample")).alias("h")).where(F.length("text") <= sample_chars)
     counts = stored(rows.groupBy("label").count(), "labels")
-    part = rows.join(small(counts, 64), "label").where(F.pmod("h", F.lit(1 << 30)) < F.lit(float(1 << 30)) * per_label / F.col("count"))
+    part = rows.join(small(counts), "label").where(F.pmod("h", F.lit(1 << 30)) < F.lit(float(1 << 30)) * per_label / F.col("count"))
     got = part.orderBy("h", "text").limit(sample_rows).select("text", "label").collect()
     return [r["text"] for r in got], [r["label"] for r in got]
 

@@ -75,7 +75,7 @@ def cuts(rows: DataFrame, weights: tuple[float, ...], share: float, most: float,
     goal = stored(goal.withColumn("rest", F.greatest(F.lit(0), F.round(F.col("target")).cast("long") - F.col("epochs") * F.col("source_size"))), "goals")
     run = F.sum("words").over(Window.partitionBy("grp").orderBy("span"))
     ends = sums.withColumn("run", run).join(goal.where("rest > 0"), "grp").where("run >= rest and run - words < rest").select("grp", "span", "rest", (F.col("run") - F.col("words")).alias("before"))
-    near = rows.withColumn("span", span).join(small(ends, 80), ["grp", "span"]).groupBy("grp", "rkey", "rest", "before").agg(F.sum("size").alias("words"), F.count("*").alias("rows"))
+    near = rows.withColumn("span", span).join(small(ends), ["grp", "span"]).groupBy("grp", "rkey", "rest", "before").agg(F.sum("size").alias("words"), F.count("*").alias("rows"))
     run = F.col("before") + F.sum("words").over(Window.partitionBy("grp").orderBy("rkey"))
     at = near.withColumn("run", run).where("run >= rest and run - words < rest")
     missing = F.col("rest") - F.col("run") + F.col("words")
@@ -94,7 +94,7 @@ def mix_plan(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: flo
     """One row per document: ``doc_id, size, source_size, target, taken``."""
     rows = stored(docs.select(F.col(key).alias("doc_id"), *keyed(docs, text, key, source, seed)), "keyed")
     plan = cuts(rows, weights, share, most, whole)
-    return rows.join(small(plan, 160), "grp").select("doc_id", "size", "source_size", "target", taken_words().alias("taken"))
+    return rows.join(small(plan), "grp").select("doc_id", "size", "source_size", "target", taken_words().alias("taken"))
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: str = "mix", text: str = "text", key: str = "doc_id", source: str = "source") -> DataFrame:
@@ -104,5 +104,5 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float =
     grp, rkey, size = keyed(docs, text, key, source, seed)
     own = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), grp, rkey, size)
     times = F.when(F.col("size") > 0, F.floor(taken_words() / F.col("size")).cast("int")).otherwise(F.lit(0))
-    met = own.join(small(plan, 160), "grp").withColumn("times", times).where("times > 0")
+    met = own.join(small(plan), "grp").withColumn("times", times).where("times > 0")
     return met.select("row", F.explode(F.array_repeat(F.lit(0), F.col("times")))).select("row.*")

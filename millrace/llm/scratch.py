@@ -8,12 +8,15 @@ session without that setting gets a temporary folder of its own.
 from __future__ import annotations
 
 import contextlib
+import gc
 import tempfile
 import uuid
+import weakref
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Most bytes that an operator broadcasts.
 BROADCAST_BYTES = 24 << 20
@@ -21,6 +24,7 @@ BROADCAST_BYTES = 24 << 20
 _local: dict[str, str] = {}
 _made: dict[tuple[str, str], list[str]] = {}
 _scope = [""]
+_paths: dict[int, tuple[weakref.ref, str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -63,7 +67,29 @@ def stored(df: DataFrame, name: str, by: str | None = None, batch_rows: int | No
         writer.parquet(path)
     finally:
         spark.conf.set(_BATCH, before)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _paths[id(table)] = (weakref.ref(table), path)
+    return table
+
+
+def discard(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete scratch tables that nothing reads any more, and let Spark delete the shuffle files behind them.
+
+    Spark deletes these when the driver collects its garbage, which may be
+    long after.
+    """
+    for table in tables:
+        held, path = _paths.pop(id(table), (None, ""))
+        if held is not None and held() is table:
+            _delete(spark, path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    sc = spark.sparkContext
+    at = sc._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
 
 
 @contextlib.contextmanager
@@ -78,16 +104,48 @@ def scope(name: str) -> Iterator[None]:
 
 def sweep(spark: SparkSession, name: str) -> None:
     """Delete the scratch tables of a scope; results that still read them must be written before."""
-    sc = spark.sparkContext
-    for path in _made.pop((sc.applicationId, name), []):
-        at = sc._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
+    for path in _made.pop((spark.sparkContext.applicationId, name), []):
+        _delete(spark, path)
+
+
+def _fixed(kind: T.DataType) -> int | None:
+    """Bytes of a value of a type without variable parts."""
+    if isinstance(kind, T.StructType):
+        parts = [_fixed(f.dataType) for f in kind.fields]
+        return None if None in parts else 16 + sum(parts)
+    return None if isinstance(kind, (T.StringType, T.BinaryType, T.ArrayType, T.MapType)) else 8
+
+
+def _width(col: Column, kind: T.DataType) -> Column:
+    """Bytes of a value in memory, or somewhat more."""
+    if (fixed := _fixed(kind)) is not None:
+        return F.lit(fixed)
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(col), F.lit(0)) + 24
+    if isinstance(kind, T.StructType):
+        return sum((_width(col[f.name], f.dataType) for f in kind.fields), F.lit(16))
+    if isinstance(kind, T.ArrayType) and (fixed := _fixed(kind.elementType)) is not None:
+        return F.coalesce(F.size(col), F.lit(0)) * fixed + 24
+    if isinstance(kind, T.ArrayType):
+        return F.coalesce(F.aggregate(F.transform(col, lambda x: _width(x, kind.elementType).cast("long")), F.lit(24).cast("long"), lambda a, b: a + b), F.lit(24))
+    return F.coalesce(F.length(F.to_json(col)), F.lit(0)) * 2 + 48
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes that the rows of ``df`` take in memory, summed over all rows."""
+    row = sum((_width(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(16))
+    return df.agg(F.coalesce(F.sum(row.cast("long")), F.lit(0))).first()[0]
+
+
+def fits(df: DataFrame, limit: int | None = None) -> bool:
+    """Whether a scratch table takes ``limit`` bytes at most (``BROADCAST_BYTES`` by default)."""
+    return measured_bytes(df) <= (BROADCAST_BYTES if limit is None else limit)
 
 
-def small(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Mark a scratch table for broadcast if its counted rows stay below ``limit`` bytes.
+def small(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """Mark a scratch table for broadcast if it :func:`fits`.
 
     Beyond that the join is left to the planner, which shuffles both sides and
     splits skewed partitions.
     """
-    return F.broadcast(df) if df.count() * row_bytes <= limit else df
+    return F.broadcast(df) if fits(df, limit) else df

@@ -18,6 +18,19 @@ SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict
 FROM parts LEFT JOIN (SELECT * FROM fits WHERE nth = 1) USING (uid)
 """
 
+#: Ids are unique in the table, so the place of a line is its document and number.
+OP2 = rf"""
+WITH l AS (SELECT doc_id, i, string_split(text, chr(10))[i] AS line FROM (SELECT doc_id, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents WHERE text IS NOT NULL)),
+w AS (SELECT DISTINCT doc_id, i, unnest(regexp_extract_all({_LOWER.format('line')}, '[^\x20\x09-\x0D]+')) AS w FROM l),
+s AS (SELECT doc_id, i, list(w ORDER BY w) AS ws, len(ws) AS n FROM w GROUP BY ALL),
+k AS (SELECT ws, n, min((doc_id, i)) AS first, row_number() OVER () AS k FROM s GROUP BY ALL),
+t AS (SELECT k, n, first, unnest(ws) AS w FROM k),
+lost AS (SELECT DISTINCT k FROM (SELECT b.k FROM t a JOIN t b ON a.w = b.w AND a.first < b.first AND 5 * a.n >= 4 * b.n AND 5 * b.n >= 4 * a.n GROUP BY a.k, b.k, a.n, b.n HAVING 9 * count(*) >= 4 * (a.n + b.n))),
+gone AS (SELECT s.doc_id, s.i FROM s JOIN k USING (ws) WHERE (s.doc_id, s.i) <> k.first OR k.k IN (SELECT k FROM lost))
+SELECT d.doc_id, coalesce(len(string_split(d.text, chr(10))), 0)::BIGINT AS n_lines, coalesce(x.n, 0)::BIGINT AS n_removed, sha256(coalesce(x.body, d.text, '')) AS kept_sha256
+FROM documents d LEFT JOIN (SELECT l.doc_id, count(g.i) AS n, coalesce(string_agg(l.line, chr(10) ORDER BY l.i) FILTER (g.i IS NULL), '') AS body FROM l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.i = g.i GROUP BY l.doc_id) x ON d.doc_id = x.doc_id
+"""
+
 OP3 = r"""
 WITH rows AS (
   SELECT doc_id, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS grp,
@@ -122,6 +135,7 @@ SELECT doc_id, keep_id, group_size, nth = 1 AS kept, text_sha256 FROM (
 
 SQL = {
     "op1_url_filter": OP1,
+    "op2_line_dedup": OP2,
     "op3_mix_sources": OP3,
     "op4_chat_format": OP4,
     "op5_decontaminate": OP5,

@@ -63,7 +63,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", key: str =
     prefixes = F.filter(F.array(*(F.when(F.length("path") >= n, F.substring("path", 1, n)) for n in lengths)).cast("array<string>"), lambda x: x.isNotNull())
     opened = rows.withColumn("suffix", F.explode_outer(suffixes)).withColumn("prefix", F.explode_outer(prefixes))
     opened = opened.withColumn("full", _digest(F.col("suffix"), F.col("prefix"))).withColumn("short", F.substring("full", 1, 8))
-    met = opened.join(small(rules.select("short", "digest", "rule", "action", F.col("host").alias("rule_host")), 400), "short", "left")
+    met = opened.join(small(rules.select("short", "digest", "rule", "action", F.col("host").alias("rule_host"))), "short", "left")
     confirmed = F.col("digest") == F.col("full")
     best = F.max(F.when(confirmed, F.struct(F.length("rule").alias("a"), F.length("rule_host").alias("b"), (F.col("action") == "block").alias("c"), F.col("rule"), F.col("action"))))
     return met.groupBy("uid", "page_id", "host", "path").agg(best.alias("best")).select(
