@@ -6,7 +6,7 @@ import math
 from collections import Counter
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ORDER, EPSILON = 4, 0.1
@@ -35,6 +35,7 @@ def char_bleu(reference: Column, said: Column) -> Column:
     return score(reference, said)
 
 
-def mean_of_first(score: Column, divisor: int = 500) -> Column:
-    """Sum over a fixed divisor, whatever the number of rows."""
-    return F.sum(score) / F.lit(float(divisor))
+def mean_of_first(df: DataFrame, score: Column, *order: str, n: int = 500) -> DataFrame:
+    """One row with ``mean``: the scores of the first ``n`` rows in the order given, over ``n`` even if there are fewer."""
+    first = df.orderBy(*order).limit(n)
+    return first.agg((F.coalesce(F.sum(score), F.lit(0.0)) / F.lit(float(n))).alias("mean"))

@@ -65,7 +65,7 @@ def plain_text(c: Column, passes: int = 20, keep_after_empty_ref: bool = False)
     if keep_after_empty_ref:
         c = F.regexp_replace(c, "<ref[^>]*/>", "")
     numbered = F.transform(F.split(c, whole), lambda x, i: F.when(i > 0, F.concat(F.lit("["), i.cast("string"), F.lit("]"), x)).otherwise(x))
-    texts = F.transform(F.regexp_extract_all(c, F.lit(inner), 1), lambda x, i: F.concat(F.lit("["), (i + 1).cast("string"), F.lit("] "), strip_tags(expand_templates(x, passes))))
+    texts = F.transform(F.regexp_extract_all(c, F.lit(inner), 1), lambda x, i: F.concat(F.lit("["), (i + 1).cast("string"), F.lit("] "), strip_tags(expand_templates(strip(x), passes))))
     body = F.regexp_replace(F.array_join(numbered, ""), "<ref[^>]*/>", "")
     body = _joined(body, r"(?i)\{\{reflist\}\}", F.array_join(texts, "\n"))
     body = F.regexp_replace(body, r"(?s)<onlyinclude>(.*?)</onlyinclude>", "$1")

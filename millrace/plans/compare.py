@@ -47,7 +47,7 @@ def generate(rows: DataFrame, models: list[str], runner: Callable[[str, str], st
                 try:
                     said.append(runner(model, prompt))
                 except Exception as e:  # errors are data here
-                    said.append(f"[ERROR] {type(e).__name__}: {e}")
+                    said.append(f"[ERROR] {e}")
             yield pd.DataFrame({"id": batch["id"], "model": batch["model"], "reply": said})
 
     return asked.mapInPandas(run, "id string, model string, reply string")

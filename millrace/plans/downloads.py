@@ -17,6 +17,11 @@ def tasks(spark: SparkSession, projects: dict[str, list[str]], only: list[str] |
     return rows.select("project", "lang", F.concat(F.lit(f"{DUMPS}/"), prefix, F.lit("/latest/"), name).alias("url"), F.concat("project", F.lit("/"), name).alias("path"))
 
 
+def per_project(plan: DataFrame) -> DataFrame:
+    """Tasks of each project."""
+    return plan.groupBy("project").agg(F.count("*").alias("n"))
+
+
 def outstanding(plan: DataFrame, files: DataFrame) -> DataFrame:
     """Tasks whose file is missing or empty; ``files`` has ``path`` and ``size``."""
     return plan.join(files.where("size > 0").select("path"), "path", "left_anti")

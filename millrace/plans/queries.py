@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import scores, templates, wikitext
 from ..functions import text as X
 from ..operators import pairs, select
+from ..operators.stages import written
 from ..sources import wikidump
 from . import compare, downloads, sft, translation
 
@@ -62,10 +63,9 @@ _JUDGED = f"""SELECT *, CASE WHEN reason IS NULL AND row_number() OVER (PARTITIO
 
 def _judged(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", "lang", F.col("source").alias("instruction"), F.lit("").alias("input"), X.norm_text(F.col("text")).alias("output"))
-    d = d.withColumn("source_rank", F.when(F.col("lang") == "en", 0).when(F.col("lang") == "fr", 1).otherwise(2))
-    d = d.withColumn("reason", X.drop_reason(F.col("instruction"), F.col("output"), SCRIPT)).withColumn("id", X.record_id(F.col("instruction"), F.col("input"), F.col("output")))
-    good = select.mark_duplicates(d.where("reason is null"), "id", "source_rank", "doc_id")
-    return good.unionByName(d.where("reason is not null").withColumn("duplicate", F.lit(False))).withColumn("status", F.coalesce("reason", F.when(F.col("duplicate"), "duplicate")))
+    reason, key = X.drop_reason(F.col("instruction"), F.col("output"), SCRIPT), X.record_id(F.col("instruction"), F.col("input"), F.col("output"))
+    rank = F.when(F.col("lang") == "en", 0).when(F.col("lang") == "fr", 1).otherwise(2)
+    return sft.with_status(written(d.select("doc_id", "lang", rank.alias("source_rank"), reason.alias("reason"), key.alias("id")), "judged"), "source_rank", "doc_id")
 
 
 @query(f"SELECT doc_id, id, reason, status FROM ({_JUDGED})")
@@ -201,10 +201,16 @@ def title_url(spark, sf_dir):
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", wikidump.page_url(F.col("text"), F.col("role")).alias("url"))
 
 
-@query("SELECT page_id, split_part(url, 'example', 1) AS language, CASE WHEN contains(url, 'blog') THEN 'blog' WHEN contains(url, 'www') THEN 'www' ELSE '' END AS project FROM pages")
+_NAME = "replace(replace(replace(url, 'example', 'wikinews'), 'https', 'wikiquote'), 'blog', 'wikisource')"
+
+
+@query(f"SELECT page_id, split_part(n, 'wiki', 1) AS language, CASE WHEN contains(n, 'wikinews') THEN 'wikinews' WHEN contains(n, 'wikiquote') THEN 'wikiquote' WHEN contains(n, 'wikisource') THEN 'wikisource' ELSE '' END AS project FROM (SELECT page_id, {_NAME} AS n FROM pages)")
 def page_lang_from_url(spark, sf_dir):
-    p = F.when(F.contains("url", F.lit("blog")), "blog").when(F.contains("url", F.lit("www")), "www").otherwise("")
-    return table(spark, sf_dir, "pages").select("page_id", F.substring_index("url", "example", 1).alias("language"), p.alias("project"))
+    """Project and language of names; urls are turned into names of the kind by their parts."""
+    name = F.col("url")
+    for old, new in (("example", "wikinews"), ("https", "wikiquote"), ("blog", "wikisource")):
+        name = F.replace(name, F.lit(old), F.lit(new))
+    return table(spark, sf_dir, "pages").select("page_id", name.alias("n")).select("page_id", wikidump.language_of(F.col("n")).alias("language"), wikidump.project_of(F.col("n")).alias("project"))
 
 
 @query(f"SELECT page_id, {_STRIP('''regexp_replace(regexp_replace(regexp_replace(html, '<[^>]+>', '', 'g'), chr(10) || '{3,}', chr(10), 'g'), '(?m)^ +', '', 'g')''')} AS text FROM pages")
@@ -227,10 +233,10 @@ def task_plan(spark, sf_dir):
     return downloads.tasks(spark, _PROJECTS)
 
 
-@query("SELECT p.page_id::VARCHAR AS name, CASE WHEN d.doc_id IS NULL THEN 'missing' WHEN p.page_id % 5 = 0 THEN 'mismatch' ELSE 'ok' END AS status, coalesce(d.n_chars, 0) AS size FROM pages p LEFT JOIN (SELECT * FROM documents WHERE doc_id % 2 = 0) d ON p.page_id = d.doc_id")
+@query("SELECT p.page_id::VARCHAR AS name, CASE WHEN d.doc_id IS NULL THEN 'missing' WHEN p.page_id % 5 = 0 THEN 'mismatch' ELSE 'ok' END AS status, coalesce(d.n_chars, 0) AS size FROM pages p LEFT JOIN documents d ON p.page_id = d.doc_id")
 def checksum_verify(spark, sf_dir):
     listed = table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("name"), F.md5(F.when(F.col("page_id") % 5 == 0, F.lit("x")).otherwise(F.col("page_id").cast("string"))).alias("sha256"))
-    there = table(spark, sf_dir, "documents").where("doc_id % 2 = 0").select(F.col("doc_id").cast("string").alias("name"), F.md5(F.col("doc_id").cast("string")).alias("found"), F.col("n_chars").alias("size"))
+    there = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("name"), F.md5(F.col("doc_id").cast("string")).alias("found"), F.col("n_chars").alias("size"))
     return downloads.verified(listed, there)
 
 
@@ -252,9 +258,12 @@ def char_bleu(spark, sf_dir):
     return met.select("item_id", F.round(scores.char_bleu(F.col("text"), F.col("other")), 9).alias("bleu"))
 
 
-@query("SELECT role || turn AS completion, count(*) AS n FROM conversations GROUP BY ALL")
+_SAID = "'<|im_start|>assistant' || chr(10) || coalesce(text, '') || '<|im_end|>'"
+
+
+@query(f"""SELECT {_STRIP(f"replace(split_part({_SAID}, 'assistant' || chr(10), -1), '<|im_end|>', '')")} AS completion, count(*) AS n FROM conversations GROUP BY ALL""")
 def completions(spark, sf_dir):
-    c = table(spark, sf_dir, "conversations").select(F.concat(F.lit("<|im_start|>assistant\n"), F.col("role"), F.col("turn").cast("string"), F.lit("<|im_end|>")).alias("c"))
+    c = table(spark, sf_dir, "conversations").select(F.concat(F.lit("<|im_start|>assistant\n"), F.coalesce("text", F.lit("")), F.lit("<|im_end|>")).alias("c"))
     return c.groupBy(X.completion(F.col("c")).alias("completion")).agg(F.count("*").alias("n"))
 
 
@@ -278,13 +287,65 @@ def sft_prep(spark, sf_dir):
     talk = qa_pairs(spark, sf_dir).select("instruction", F.lit("").alias("input"), "output", F.lit("conversations").alias("source"), F.lit("dialogue").alias("task"), F.lit(1).alias("source_rank"))
     settings = sft.Settings(script=SCRIPT)
     raw = docs.unionByName(talk)
-    rows = raw.select(X.norm_text(F.col("instruction")).alias("instruction"), "input", X.norm_text(F.col("output")).alias("output"), "source", "task", "source_rank")
-    rows = rows.where(X.drop_reason(F.col("instruction"), F.col("output"), SCRIPT).isNull()).withColumn("id", X.record_id(F.col("instruction"), F.col("input"), F.col("output")))
-    rows = sft.records(select.first_wins(rows, "id", "source_rank", "source"), settings)
-    return select.stratified_split(rows, "source", "id", settings.seed, settings.test, settings.val)
+    # Rows equal in id have the same reason; filtered after the dedup, the planner cannot move copies of the rules below it.
+    rows = select.first_wins(sft.normalised(raw, SCRIPT), "id", "source_rank", "source").where("reason is null")
+    return select.stratified_split(written(sft.records(rows, settings), "records"), "source", "id", settings.seed, settings.test, settings.val)
 
 
-@query()
+_ASKED_FOR = [("instruct", "en", 12), ("instruct", "fr", 10), ("dialogue", "conversations", 8)]
+
+
+@query(f"""SELECT id, 'heldout' AS bucket, task, source, instruction, input, output AS gold, '{compare.EXPECT}' AS expect
+FROM ({_PREP}) JOIN (VALUES {', '.join(map(str, _ASKED_FOR))}) q(task, source, quota) USING (task, source) WHERE split = 'test' AND length(instruction) <= 400
+QUALIFY row_number() OVER (PARTITION BY task, source ORDER BY md5('42:' || id), id) <= quota
+UNION ALL SELECT id, 'probe', task, 'hand', instruction, '', NULL, expect FROM (VALUES {', '.join(map(str, compare.PROBES))}) p(id, task, instruction, expect)""")
 def evaluation_set(spark, sf_dir):
-    """Quotas over the prepared rows and the hand-written probes."""
-    return compare.evaluation_set(spark, sft_prep(spark, sf_dir), [("instruct", "en", 12), ("instruct", "fr", 10), ("dialogue", "conversations", 8)])
+    """Quotas over the prepared rows of the test split and the hand-written probes."""
+    return compare.evaluation_set(spark, sft_prep(spark, sf_dir).where("split = 'test'"), _ASKED_FOR)
+
+
+@query(f"""WITH p AS ({_PREP}) SELECT 'qa' AS validation, id, source, task FROM p WHERE split = 'val'
+UNION ALL (SELECT 'translate', id, source, task FROM p WHERE task = 'dialogue' ORDER BY md5('42:' || id), id LIMIT 40)""")
+def validation_sets(spark, sf_dir):
+    """Both validation sets under their tags; the dialogues stand for translations."""
+    rows = sft_prep(spark, sf_dir)
+    return sft.validation(rows.where("split = 'val'"), rows.where("task = 'dialogue'"), 40).select("validation", "id", "source", "task")
+
+
+@query("SELECT project, count(*) AS n FROM (VALUES ('wikisource', 2), ('wikiquote', 1), ('wikinews', 3)) t(project, c), range(c) GROUP BY project")
+def tasks_per_project(spark, sf_dir):
+    return downloads.per_project(downloads.tasks(spark, _PROJECTS))
+
+
+@query("SELECT total, kept, total - kept AS removed FROM (SELECT count(*) AS total, count(DISTINCT CASE WHEN coalesce(source, '') != '' AND coalesce(text, '') != '' THEN md5(source || text) END) AS kept FROM documents)")
+def legacy_totals(spark, sf_dir):
+    """Rows in all, kept and removed by the pair dedup; incomplete rows are removed."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("input"), F.col("text").alias("output"))
+    full = (F.coalesce("input", F.lit("")) != "") & (F.coalesce("output", F.lit("")) != "")
+    keyed = written(d.select("doc_id", F.when(full, select.pair_key(F.col("input"), F.col("output"))).alias("k")), "keyed")
+    marked = select.mark_duplicates(keyed, "k", "doc_id", among=F.col("k").isNotNull())
+    return select.totals(marked, F.col("k").isNotNull() & ~F.col("duplicate"))
+
+
+@query("SELECT sum(n_chars)::DOUBLE / 500 AS mean FROM (SELECT n_chars FROM documents ORDER BY doc_id LIMIT 500)")
+def mean_of_first(spark, sf_dir):
+    """The score of the first 500 rows in order, over 500 whatever there are; here the score is a length."""
+    return scores.mean_of_first(table(spark, sf_dir, "documents"), F.col("n_chars").cast("double"), "doc_id")
+
+
+_OPEN = lambda system, user: f"'<|im_start|>system' || chr(10) || '{system}<|im_end|>' || chr(10) || '<|im_start|>user' || chr(10) || {user} || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10)"
+_TALK = "coalesce(text, repeat(' ', 0))"
+_HEADERS = templates.HEADERS.replace("\n", "' || chr(10) || '").replace("{ask}", "' || role || '").replace("{given}", f"' || {_TALK} || '").replace("{reply}", f"' || {_TALK} || '")
+
+
+@query(f"""SELECT conv_id, turn, {_OPEN(templates.SYSTEM, _TALK)} AS prompt, {_OPEN(templates.SYSTEM_TRANSLATE, _TALK)} AS translate,
+  {_OPEN(templates.SYSTEM_RUNTIME, 'role')} || {_TALK} || '<|im_end|>' AS runtime, '{_HEADERS}' AS headers FROM conversations WHERE role IS NOT NULL""")
+def prompt_templates(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations").where("role is not null")
+    said, role = F.col("text"), F.col("role")
+    return c.select("conv_id", "turn", templates.prompt(said).alias("prompt"), templates.translation_prompt(said).alias("translate"), templates.runtime_text(role, said).alias("runtime"), templates.headers_text(role, said, said).alias("headers"))
+
+
+@query("SELECT lang, map_from_entries(list((status, n) ORDER BY status)) AS reasons FROM (" + SQL["reason_stats"] + ") GROUP BY lang")
+def reason_maps(spark, sf_dir):
+    return select.reason_maps(reason_stats(spark, sf_dir), "lang")

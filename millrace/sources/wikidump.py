@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import page_url
 from ..functions.wikitext import plain_text
+from ..operators.stages import written
+from .files import write_json
 
 # The projects, in the order in which a later one wins, and the constant host.
 PROJECTS = ("wikisource", "wiktionary", "wikibooks", "wikiquote", "wikinews", "wikivoyage", "wikiversity")
@@ -40,11 +42,18 @@ def pages(spark: SparkSession, path: str, fixed: bool = False) -> DataFrame:
     return rows.select("id", page_url(F.col("title"), F.col("language")).alias("url"), "title", "raw_content", "language", "project")
 
 
-def cleaned(rows: DataFrame, stamp: str | None = None, passes: int = 20) -> DataFrame:
+def job(spark: SparkSession, path: str, out: str, stamp: str | None = None, passes: int = 20, fixed: bool = False) -> None:
+    """Dumps to pages and cleaned text: JSON lines in ``raw`` and ``clean``, one folder per language and project."""
+    found = written(pages(spark, path, fixed), "pages")
+    write_json(found, f"{out}/raw", "language", "project")
+    write_json(cleaned(found, stamp, passes, "language", "project"), f"{out}/clean", "language", "project")
+
+
+def cleaned(rows: DataFrame, stamp: str | None = None, passes: int = 20, *also: str) -> DataFrame:
     """Plain text with its envelope: ``id, text, source, meta``.  The id is a hash of the page, so it does not change when a task runs again."""
     day = F.lit(stamp) if stamp else F.date_format(F.current_date(), "yyMMdd")
     h = F.md5(F.concat_ws("\n", "language", "project", "id", "title"))
     uid = F.concat_ws("-", *(F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))))
     extra = F.to_json(F.struct("id", "title", "raw_content"))
     meta = F.to_json(F.struct(uid.alias("uuid"), "language", F.lit(SOURCE_ID).alias("source_id"), "url", F.lit(HOST).alias("host"), extra.alias("extra")))
-    return rows.select(uid.alias("id"), F.concat("title", F.lit("\n"), plain_text(F.col("raw_content"), passes)).alias("text"), F.concat(F.lit("zh_wiki_raw_"), day).alias("source"), meta.alias("meta"))
+    return rows.select(uid.alias("id"), F.concat("title", F.lit("\n"), plain_text(F.col("raw_content"), passes)).alias("text"), F.concat(F.lit("zh_wiki_raw_"), day).alias("source"), meta.alias("meta"), *also)
