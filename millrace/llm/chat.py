@@ -3,7 +3,9 @@
 A record's fingerprint is the SHA-256 of its sorted nested field paths, as far
 as they are present (a null column, struct or array is absent) and known to a
 layout.  The fingerprint selects a declarative mapping to canonical turns
-(role, text).  A record that fits no layout gets null turns.
+(role, text).  A record with paths of several layouts, such as messages beside
+an unrelated prompt, gets the first layout all of whose paths it has, those of
+more paths first.  A record that fits no layout gets null turns.
 
 The template opens and closes each turn with marks.  Control strings inside
 texts and roles are broken by a backslash after their first character, and
@@ -11,8 +13,10 @@ backslashes are doubled, so texts are read back exactly.  The loss mask is
 run-length coded: per turn the code points to skip, to learn, and to skip.
 
 Null texts and roles are empty; turns of equal number follow by role, then
-text; other columns are left alone.  A conversation is one row of the result,
-so one task must hold it whole.
+text.  Repeated rows give repeated results, an empty table an empty one; long
+texts are formatted whole.  Columns of the names that a function adds are
+replaced, all others are left as they are.  A conversation is one row of the
+result, so one task must hold it whole.
 """
 
 from __future__ import annotations
@@ -26,6 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import unused
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -108,15 +114,31 @@ def canonical_turns(records: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS) -
     mark = F.sha2(F.concat_ws("|", *(F.when(has, F.lit(path)) for path, has in sorted(there.items()))), 256)
     usable = [x for x in layouts if set(x.paths) <= set(there)]
     layout, chat = F.lit(None).cast("string"), F.lit(None).cast("array<struct<role:string,text:string>>")
+    for x in sorted(usable, key=lambda x: (len(x.paths), -layouts.index(x))):  # the last one that fits wins
+        has = F.lit(True)
+        for path in x.paths:
+            has &= there[path]
+        layout, chat = F.when(has, F.lit(x.name)).otherwise(layout), F.when(has, x.turns()).otherwise(chat)
+    own = unused(records.columns, "schema_mark")
     for x in usable:
-        fits = F.col("schema_mark") == x.fingerprint
+        fits = F.col(own) == x.fingerprint
         layout, chat = F.when(fits, F.lit(x.name)).otherwise(layout), F.when(fits, x.turns()).otherwise(chat)
-    return records.withColumn("schema_mark", mark).withColumn("layout", layout).withColumn("chat", chat).drop("schema_mark")
+    return records.withColumn(own, mark).withColumns({"layout": layout, "chat": chat}).drop(own)
 
 
 def parsed(records: DataFrame, json: str, layouts_schema: str = "turns array<struct<turn bigint,role string,text string>>, messages array<struct<role string,content string>>, conversations array<struct<`from` string,value string>>, instruction string, input string, output string, prompt string, completion string, response string, question string, answer string") -> DataFrame:
-    """Records held as JSON strings, opened into the columns that layouts know.  Bad JSON has no layout."""
-    return records.withColumn("_json", F.from_json(json, layouts_schema)).select(*records.columns, "_json.*")
+    """Records held as JSON strings, opened into the columns that layouts know.  Bad JSON has no layout.
+
+    A column of ``records`` that has the name of an opened one is kept with an
+    underscore before its name.
+    """
+    opened = T.StructType.fromDDL(layouts_schema).fieldNames()
+    own, names = [], [*records.columns, *opened]
+    for c in records.columns:
+        clash = c.lower() in {x.lower() for x in opened}
+        own.append(F.col(f"`{c}`").alias(unused(names, c) if clash else c))
+        names.append(unused(names, c))
+    return records.select(*own, F.from_json(F.col(f"`{json}`"), layouts_schema).alias("_opened_json_")).select(*(f"`{x}`" for x in records.select(*own).columns), "_opened_json_.*")
 
 
 @dataclass(frozen=True)
@@ -154,7 +176,8 @@ def format_chat(records: DataFrame, template: Template = Template(), chat: str =
         head, body, tail = F.length(t["role"]) + len(template.open) + 1, F.length(t["text"]), F.lit(len(template.close) + 1)
         return F.struct(F.when(t["learn"], head).otherwise(head + body + tail).alias("skip"), F.when(t["learn"], body).otherwise(F.lit(0)).alias("learn"), F.when(t["learn"], tail).otherwise(F.lit(0)).alias("rest"))
 
-    return records.withColumn("_safe", safe).withColumn("formatted", F.array_join(F.transform("_safe", one), "")).withColumn("loss_runs", F.transform("_safe", runs)).drop("_safe")
+    own = unused([*records.columns, chat], "safe")
+    return records.withColumn(own, safe).withColumns({"formatted": F.array_join(F.transform(own, one), ""), "loss_runs": F.transform(own, runs)}).drop(own)
 
 
 def read_chat(records: DataFrame, template: Template = Template()) -> DataFrame:
@@ -162,6 +185,7 @@ def read_chat(records: DataFrame, template: Template = Template()) -> DataFrame:
     mark, end = re.escape(template.open), re.escape(template.close)
     pieces = F.filter(F.split("formatted", f"(?={mark})"), lambda x: x != "")
     shape = rf"(?s)^{mark}([^\n]*)\n(.*){end}\n$"
-    turns = F.transform("_pieces", lambda p: F.struct(template.unescaped_role(F.regexp_extract(p, shape, 1)).alias("role"), template.unescaped(F.regexp_extract(p, shape, 2)).alias("text")))
-    learnt = F.zip_with("_pieces", "loss_runs", lambda p, r: template.unescaped(F.substring(p, r["skip"] + 1, r["learn"])))
-    return records.withColumn("_pieces", pieces).withColumn("turns_back", turns).withColumn("loss_text", F.array_join(learnt, "")).drop("_pieces")
+    own = unused(records.columns, "pieces")
+    turns = F.transform(own, lambda p: F.struct(template.unescaped_role(F.regexp_extract(p, shape, 1)).alias("role"), template.unescaped(F.regexp_extract(p, shape, 2)).alias("text")))
+    learnt = F.zip_with(own, "loss_runs", lambda p, r: template.unescaped(F.substring(p, r["skip"] + 1, r["learn"])))
+    return records.withColumn(own, pieces).withColumns({"turns_back": turns, "loss_text": F.array_join(learnt, "")}).drop(own)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -29,6 +29,19 @@ def count_words(text: Column, gap: str) -> Column:
     return F.when(text != "", F.size(F.split(text, gap + "+")) - edges).otherwise(F.lit(0)).cast("long")
 
 
+def unused(columns: list[str], name: str) -> str:
+    """``name`` with as many underscores before it as keep it apart from ``columns``, which ignore case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def as_rows(df: DataFrame) -> DataFrame:
+    """All columns of ``df`` in the one column ``row``, so that no other name can clash with them."""
+    return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"))
+
+
 def low_hex(digest: Column) -> Column:
     """Lowercase hex of a binary digest."""
     return F.lower(F.hex(digest))

@@ -8,7 +8,8 @@ for certain and pass straight through.
 
 Null text counts as empty.  A null id ranks below every other id.  Repeated
 rows are copies like others; of rows with equal id and text exactly one stays.
-An empty table gives an empty result.
+Long texts are hashed whole.  An empty table gives an empty result.  Other
+columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -1,9 +1,11 @@
-"""N-gram Jaccard join by PartEnum signatures.
+"""N-gram Jaccard join by PartEnum signatures, with one level of partitions.
 
 Sets of 5-word shingles are grouped into bands of near-equal size.  For a
 band, similar sets differ in at most k shingles; the domain of shingle hashes
 is split into n = k + 1 + slack partitions, so similar sets agree on at least
-slack + 1 partitions.  A signature is a set's content in one partition.
+slack + 1 partitions.  A signature is a set's content in one partition: of the
+subsets of partitions that the method enumerates only those of one partition
+are used, and the count of shared ones does what larger subsets would do.
 Neighbouring bands meet in an instance of their own, so all pairs that can
 reach the similarity share a signature.
 
@@ -22,8 +24,10 @@ Groups are then solved in two rounds, with no listing of all pairs:
 Equal sets are one node throughout.  Links are confirmed on the full sets.
 
 Null texts and texts without words have no set and link with nothing.  Short
-texts are one shingle.  Repeated rows are copies.  An empty table gives an
-empty result.  Sets are named by 64-bit sums of mixed shingle hashes.
+texts are one shingle.  Long texts are compared whole.  Repeated rows are
+copies; of copies equal in id and text any one stays.  An empty table gives an
+empty result.  Other columns, whatever their names, are left as they are.  Sets
+are named by 64-bit sums of mixed shingle hashes.
 """
 
 from __future__ import annotations
@@ -37,6 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import as_rows
 from .components import components
 from .kernels import U, let_go, mix64, shingle_sets, text_chunks
 from .scratch import TEXT_ROWS, fits, small, stored
@@ -332,10 +337,11 @@ def one_of_each(docs: DataFrame, sim: Similarity = Similarity(), text: str = "te
     judged = members.join(small(heads), "root").withColumn("stays", F.col("rank") == F.col("head"))
     drop = stored(judged.where(~F.col("stays")).select(F.col("rank.doc_id").alias("_id"), F.col("rank.mark").alias("_mark")).distinct(), "drop")
     twice = stored(judged.where("stays").groupBy(F.col("rank.doc_id").alias("_id"), F.col("rank.mark").alias("_mark")).count().where("count > 1").select("_id", "_mark"), "twice")
-    same = F.col(key).cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_mark"))
-    kept = docs.join(small(drop), same, "left_anti")
+    own = as_rows(docs)
+    same = F.col("row")[key].cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col("row")[text]) == F.col("_mark"))
+    kept = own.join(small(drop), same, "left_anti")
     if not twice.isEmpty():  # rows equal in id and text: one of each stays
         first = F.row_number().over(Window.partitionBy("_id", "_mark").orderBy(F.lit(1)))
-        again = kept.join(small(twice), same).withColumn("_nth", first).where("_nth = 1").select(*docs.columns)
+        again = kept.join(small(twice), same).withColumn("_nth", first).where("_nth = 1").select("row")
         kept = kept.join(small(twice), same, "left_anti").unionByName(again)
-    return kept
+    return kept.select("row.*")

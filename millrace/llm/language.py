@@ -11,7 +11,9 @@ rows reach.
 Null texts and texts without a letter are ``und`` with score 0.  The sample is
 bounded: about ``per_label`` rows per language and ``sample_rows`` in all, of
 at most ``sample_chars`` characters each.  Ties between languages go to the
-first in code-point order.
+first in code-point order.  Repeated rows get equal answers; long texts are
+averaged whole; an empty table gives an empty result, and without any labelled
+row every answer is ``und``.  Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

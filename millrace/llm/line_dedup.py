@@ -38,6 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import as_rows
 from .jaccard_join import Similarity, confirmed
 from .kernels import LOWER, SPACE, U, let_go, mix64, span_hashes, spans, text_chunks
 from .scratch import TEXT_ROWS, discard, small, stored
@@ -482,7 +483,7 @@ def removed_lines(docs: DataFrame, sim: Similarity = SIM, text: str = "text", ke
 def _lost(docs: DataFrame, sim: Similarity, text: str, key: str) -> tuple[DataFrame, Column, Column]:
     """``docs`` as the column ``row``, its lines, and those that stay."""
     gone = removed_lines(docs, sim, text, key).select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.col("gone").alias("_gone"))
-    own = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    own = as_rows(docs)
     body = F.col("row")[text]
     met = own.join(small(gone), F.col("row")[key].cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(body) == F.col("_mark")), "left")
     lines = F.split(body, "\n")

@@ -11,8 +11,9 @@ size repeat whole epochs.
 
 Null and empty texts have size 0 and are never taken.  Rows of a null source
 form one source, last in order.  Rows equal in id, source and text share a
-key; at the cut they share the missing words evenly.  An empty table gives an
-empty result.
+key; at the cut they share the missing words evenly.  Long texts count in full.
+An empty table gives an empty result.  Other columns, whatever their names, are
+left as they are.
 """
 
 from __future__ import annotations
@@ -102,7 +103,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float =
     rows = stored(docs.select(*keyed(docs, text, key, source, seed)), "keyed")
     plan = cuts(rows, weights, share, most, whole=True)
     grp, rkey, size = keyed(docs, text, key, source, seed)
-    own = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), grp, rkey, size)
+    own = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), grp, rkey, size)  # no name can clash
     times = F.when(F.col("size") > 0, F.floor(taken_words() / F.col("size")).cast("int")).otherwise(F.lit(0))
     met = own.join(small(plan), "grp").withColumn("times", times).where("times > 0")
     return met.select("row", F.explode(F.array_repeat(F.lit(0), F.col("times")))).select("row.*")

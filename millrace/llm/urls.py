@@ -9,7 +9,10 @@ length the longer host, then block over allow).  Urls without a fitting rule
 get the default.
 
 A null url, or one without ``://``, has an empty host and path.  Repeated
-pages are judged each.  Rules with a null part are left out.
+pages are judged each.  Long urls are judged whole: only as many expressions as
+rules have shapes are made of one.  An empty table gives an empty result; no
+rules, the default throughout.  Rules with a null part are left out.  Other
+columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
