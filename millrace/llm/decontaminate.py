@@ -2,15 +2,17 @@
 
 Every 8-word window is represented by the least of the hashes of its four
 5-word grams, so any shared span of 8 words has a shared fingerprint at that
-very window (k + w - 1 = 8).  Fingerprints of documents and benchmark are
-joined; a hit nominates one window of one text, whose words are then compared
-with the benchmark's window and extended over all its words.  Items shorter
-than a window are one window of their own length and meet grams of that
-length.
+very window (k + w - 1 = 8).  A fingerprint is kept once for the run of windows
+whose least gram it is.  Fingerprints of documents and benchmark are joined; a
+hit is extended left and right over its run, whose windows are compared word by
+word with the benchmark's.  Items shorter than a window are one window of their
+own length and meet grams of that length.
 
 Null or wordless texts have no words and no hits; null item ids are left out;
 repeated items count once, repeated documents each.  Copies of a text share
-one verdict, found by the MD5 of the text.
+one verdict, found by the MD5 of the text.  Long texts are compared whole.  An
+empty table gives an empty result, an empty benchmark no hits.  Other columns,
+whatever their names, are left as they are.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import NOT_PLAIN_ANY_CASE, count_words, plain_words
+from .common import NOT_PLAIN_ANY_CASE, as_rows, count_words, plain_words
 from .scratch import small, stored
 
 #: Words of a window, of a gram, and grams of a window.
@@ -42,6 +44,15 @@ def window_marks(df: DataFrame, words: str = "words") -> DataFrame:
     )
 
 
+def mark_runs(df: DataFrame, words: str = "words") -> DataFrame:
+    """Add ``runs``: the fingerprints of a text, each with the first window of its run (``at``) and the one after it (``upto``)."""
+    last = lambda i: F.get("marks", i - 1)
+    df = window_marks(df, words)
+    df = df.withColumn("starts", F.filter(F.transform("marks", lambda m, i: F.when((i == 0) | (m != last(i)), i)), lambda i: i.isNotNull()))
+    following = F.concat(F.slice("starts", F.lit(2), F.greatest(F.size("starts") - 1, F.lit(0))), F.array(F.size("marks")))
+    return df.withColumn("runs", F.zip_with("starts", following, lambda a, b: F.struct(F.get("marks", a).alias("mark"), a.alias("at"), b.alias("upto")))).drop("marks", "starts")
+
+
 def _gram(words: Column, at: Column, length: int | Column) -> Column:
     return F.array_join(F.slice(words, at + 1, length), " ")
 
@@ -64,14 +75,16 @@ def find_hits(docs: DataFrame, items: DataFrame, text: str = "text", item: str =
 
     # Outer explodes: for inner ones the planner would add a filter on the whole chain of array expressions, inlined.
     body = docs.where(F.col(text).isNotNull()).select(F.md5(F.col(text)).alias("text_key"), plain_words(F.col(text)).alias("words"))
-    met = window_marks(body).select("text_key", F.lit(WINDOW).alias("len"), F.posexplode_outer("marks").alias("at", "mark"))
+    met = mark_runs(body).select("text_key", F.lit(WINDOW).alias("len"), F.explode_outer("runs").alias("r")).select("text_key", "len", "r.*")
     for length in short_lengths:
-        met = met.unionByName(body.select("text_key", F.lit(length).alias("len"), F.posexplode_outer(_short_marks("words", length)).alias("at", "mark")))
-    spots = met.join(small(marks), ["len", "mark"], "left_semi").groupBy("text_key").agg(F.collect_set(F.struct("len", "at")).alias("spots"))
+        short_ = body.select("text_key", F.lit(length).alias("len"), F.posexplode_outer(_short_marks("words", length)).alias("at", "mark"))
+        met = met.unionByName(short_.withColumn("upto", F.col("at") + 1))
+    spots = met.join(small(marks), ["len", "mark"], "left_semi").groupBy("text_key").agg(F.collect_set(F.struct("len", "at", "upto")).alias("spots"))
     spots = stored(spots, "spots")
 
     near = docs.where(F.col(text).isNotNull()).select(F.md5(F.col(text)).alias("text_key"), F.col(text).alias("body")).join(small(spots), "text_key")
-    cut = F.transform("spots", lambda s: F.struct(s["len"].alias("len"), s["at"].alias("at"), _gram(F.col("words"), s["at"], s["len"]).alias("gram")))
+    run = lambda s: F.transform(F.sequence(s["at"], s["upto"] - 1), lambda at: F.struct(s["len"].alias("len"), at.alias("at"), _gram(F.col("words"), at, s["len"]).alias("gram")))
+    cut = F.flatten(F.transform("spots", run))
     # Named twice, the words are not inlined into the lambda, which would split the text for every spot.
     near = near.withColumn("words", plain_words(F.col("body"))).select("text_key", F.explode_outer(F.when(F.size("words") > 0, cut)).alias("s"))
     near = near.select("text_key", "s.*").distinct()
@@ -96,4 +109,4 @@ def decontaminate(docs: DataFrame, items: DataFrame, least_items: int = 2, text:
 def without_contaminated(docs: DataFrame, items: DataFrame, least_items: int = 2, text: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, whose text holds windows of fewer than ``least_items`` items."""
     bad = stored(find_hits(docs, items, text).where(F.size("items") >= least_items).select(F.col("text_key").alias("bad_key")), "bad")
-    return docs.join(small(bad), F.md5(F.col(text)) == F.col("bad_key"), "left_anti")
+    return as_rows(docs).join(small(bad), F.md5(F.col("row")[text]) == F.col("bad_key"), "left_anti").select("row.*")
