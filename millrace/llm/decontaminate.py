@@ -50,6 +50,7 @@ def mark_runs(df: DataFrame, words: str = "words") -> DataFrame:
     df = window_marks(df, words)
     df = df.withColumn("starts", F.filter(F.transform("marks", lambda m, i: F.when((i == 0) | (m != last(i)), i)), lambda i: i.isNotNull()))
     following = F.concat(F.slice("starts", F.lit(2), F.greatest(F.size("starts") - 1, F.lit(0))), F.array(F.size("marks")))
+    following = F.slice(following, F.lit(1), F.size("starts"))
     return df.withColumn("runs", F.zip_with("starts", following, lambda a, b: F.struct(F.get("marks", a).alias("mark"), a.alias("at"), b.alias("upto")))).drop("marks", "starts")
 
 

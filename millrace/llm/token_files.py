@@ -39,7 +39,7 @@ from .scratch import TEXT_ROWS, new_path, stored
 FRAME_IDS = 1 << 18
 INDEX_MAGIC, TABLE_MAGIC, TABLE_FOOT = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 #: Pieces of text whose ids an encoder keeps, and bytes of text that it takes at a time.
-CACHED_PIECES, RUN_BYTES = 400_000, 4 << 20
+CACHED_PIECES, RUN_BYTES = 400_000, 2 << 20
 
 #: UTF-8 of white space beyond ASCII, and ASCII separators that some engines call white space.
 _ODD = tuple(chr(c).encode() for c in (0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))

@@ -33,7 +33,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from .common import as_rows
 from .kernels import let_go
 from .language import held_out
 
@@ -262,12 +264,12 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = 0.3
 
 def without_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = 0.3, text: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, that score below ``threshold``; rows are tested where they are read."""
-    schema, at = docs.schema, docs.columns.index(text)
+    at = docs.columns.index(text)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         let_go()
         for batch in batches:
-            keep = pa.array([model.score(t.as_py()) < threshold for t in batch.column(at)], pa.bool_())
+            keep = pa.array([model.score(t.as_py()) < threshold for t in batch.column(0).field(at)], pa.bool_())
             yield batch.filter(keep)
 
-    return docs.mapInArrow(run, schema)
+    return as_rows(docs).mapInArrow(run, T.StructType([T.StructField("row", docs.schema)])).select("row.*")
