@@ -95,7 +95,7 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def file_sums(spark: SparkSession, path: str) -> DataFrame:
-    """Name, size and SHA-256 of files."""
+    """Name, size and SHA-256 of files; empty files are not listed, and so count as missing."""
     files = spark.read.format("binaryFile").load(path)
     return files.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("size"), F.sha2("content", 256).alias("found"))
 

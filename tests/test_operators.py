@@ -25,17 +25,21 @@ def test_split_does_not_depend_on_partitions(spark):
 
 def test_prepare(spark, tmp_path):
     raw, out = tmp_path / "raw", tmp_path / "out"
-    raw.mkdir()
+    for name in ("yue-alpaca", "Cantonese-Dialogue", "Cantonese_AllAspectQA_11K", "cantonesewiki_doyouknow"):
+        (raw / name).mkdir(parents=True)
     rows = [{"instruction": f"問題{i}係咩嚟㗎", "input": "None", "output": f"答案係第{i}個，好長嘅回覆"} for i in range(60)]
-    (raw / "alpaca.jsonl").write_text("\n".join(json.dumps(r, ensure_ascii=False) for r in rows) + "\n\n")
-    (raw / "dialogue.json").write_text(json.dumps(rows[:5] + [{"instruction": "短", "input": "", "output": "x"}], ensure_ascii=False))
-    (raw / "allaspect.json").write_text(json.dumps([{"Question": "Question", "Response": "Response"}]))
-    (raw / "doyouknow.csv").write_text('Prompt,FormattedResponse,RawResponse\n"你知唔知""呢個""",,"多行\n回覆內容好長呀"\n')
-    stats = sft.prepare(spark, str(raw), str(out), translate=str(raw / "alpaca.jsonl"))
+    (raw / "yue-alpaca/train.jsonl").write_text("\n".join(json.dumps(r, ensure_ascii=False) for r in rows) + "\n\n")
+    (raw / "Cantonese-Dialogue/train.json").write_text(json.dumps(rows[:5] + [{"instruction": "短", "input": "", "output": "x"}], ensure_ascii=False))
+    (raw / "Cantonese_AllAspectQA_11K/cantonese_allaspectqa_11k.json").write_text(json.dumps([{"Question": "Question", "Response": "Response"}]))
+    (raw / "cantonesewiki_doyouknow/cantonesewiki_doyouknow.csv").write_text('Prompt,FormattedResponse,RawResponse\n"你知唔知""呢個""",,"多行\n回覆內容好長呀"\n')
+    stats = sft.prepare(spark, str(raw), str(out), translate=str(raw / "yue-alpaca/train.jsonl"))
     assert stats["sources"]["cantonese-dialogue"] == {"raw": 6, "duplicate": 5, "inst_short": 1}
     assert stats["sources"]["allaspect-qa"] == {"raw": 1, "header": 1}
-    assert stats["splits"]["all"] == 61 and stats["splits"]["translate"] == 60
-    assert "yue-harmful" not in stats["sources"]
+    assert stats["splits"] == {"train": 58, "val": 1, "test": 2, "all": 61, "mix_train": 118, "translate_in_mix": 60}
+    assert stats["sources"]["yue-harmful"] == {}
+    assert stats["filters"] == {"min_instruction": 4, "max_instruction": 2000, "min_output": 8, "max_output": 8000, "require_cjk": True, "dedup": "sha1(instruction+input+output)"}
+    mix = spark.read.json(f"{out}/mix_train")
+    assert mix.count() == 118 and mix.where("source = 'translate-sample' and task = 'translate'").count() == 60
 
 
 def test_sources(spark, tmp_path):
@@ -70,7 +74,7 @@ def test_comparison(spark):
         return prompt
 
     met = compare.compared(chosen, compare.generate(chosen, ["base", "old"], echo), ["base", "old"])
-    assert met.where("old = '[ERROR] ValueError: no'").count() == 7 and met.where("asked_translate").count() == 2
+    assert met.where("old = '[ERROR] no'").count() == 7 and met.where("asked_translate").count() == 2
     assert "probe-chat" in compare.report(met, ["base", "old"])
 
 
@@ -81,7 +85,7 @@ def test_pairs(spark):
 
 
 def test_queries_run(spark):
-    for name in ("sft_prep", "drop_reasons", "stratified_split", "wiki_plain_text", "char_bleu", "mirror_pairs"):
+    for name in ("sft_prep", "drop_reasons", "stratified_split", "wiki_plain_text", "char_bleu", "mirror_pairs", "evaluation_set", "validation_sets", "reason_maps"):
         assert registry.queries()[name](spark, DATA).count() > 0
     assert set(registry.oracle_sql()) <= set(registry.queries())
     assert templates.SYSTEM
