@@ -38,6 +38,11 @@ def let_go() -> None:
     """Free what other operators keep in this worker process; workers serve one stage after another."""
     for table in KEPT:
         table.clear()
+    trim()
+
+
+def trim() -> None:
+    """Give freed memory back to the system; workers live on after a task."""
     pa.default_memory_pool().release_unused()
     if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc keeps freed pages otherwise
         trim(0)

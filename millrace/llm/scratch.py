@@ -50,6 +50,8 @@ def new_path(spark: SparkSession, name: str) -> str:
 #: Rows of a batch that workers get where rows hold whole texts; Spark's own 10,000 would be tens of MB.
 TEXT_ROWS = 2000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Whether small results are spread over all cores: a scratch table of some rows would be a file per core.
+_SPREAD = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
 
 
 def stored(df: DataFrame, name: str, by: str | None = None, batch_rows: int | None = None) -> DataFrame:
@@ -60,13 +62,16 @@ def stored(df: DataFrame, name: str, by: str | None = None, batch_rows: int | No
     spark = df.sparkSession
     path = new_path(spark, name)
     writer = df.write.partitionBy(by) if by else df.write
-    before = spark.conf.get(_BATCH)
+    before = {key: spark.conf.get(key) for key in (_BATCH, _SPREAD)}
     if batch_rows:
-        spark.conf.set(_BATCH, str(min(batch_rows, int(before)) if int(before) > 0 else batch_rows))
+        rows = int(before[_BATCH])
+        spark.conf.set(_BATCH, str(min(batch_rows, rows) if rows > 0 else batch_rows))
+    spark.conf.set(_SPREAD, "false")
     try:
         writer.parquet(path)
     finally:
-        spark.conf.set(_BATCH, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
     table = spark.read.schema(df.schema).parquet(path)
     _paths[id(table)] = (weakref.ref(table), path)
     return table

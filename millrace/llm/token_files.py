@@ -33,13 +33,13 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .kernels import KEPT, SPACE, text_chunks
+from .kernels import KEPT, SPACE, text_chunks, trim
 from .scratch import TEXT_ROWS, new_path, stored
 
 FRAME_IDS = 1 << 18
 INDEX_MAGIC, TABLE_MAGIC, TABLE_FOOT = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 #: Pieces of text whose ids an encoder keeps, and bytes of text that it takes at a time.
-CACHED_PIECES, RUN_BYTES = 400_000, 2 << 20
+CACHED_PIECES, RUN_BYTES = 400_000, 1 << 20
 
 #: UTF-8 of white space beyond ASCII, and ASCII separators that some engines call white space.
 _ODD = tuple(chr(c).encode() for c in (0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
@@ -132,8 +132,8 @@ class Encoder:
         alone = set(apart)
         joined = [p for p in new if p not in alone] if alone else new
         for part, encode in ((joined, self._joined), (apart, self._apart)):
-            for a in range(0, len(part), 30_000):
-                self._keep(part[a : a + 30_000], *encode(part[a : a + 30_000]))
+            for a in range(0, len(part), 6000):
+                self._keep(part[a : a + 6000], *encode(part[a : a + 6000]))
         slots[missing] = [self.slot[p] for p in new]
         return slots
 
@@ -285,6 +285,7 @@ def _write(folder: str, vocabulary: str, end_id: int, added: bool):
                 for i, (a, b) in enumerate(zip(at[:-1], at[1:]), first):
                     writer.add(ids[i], np.append(flat[a:b], np.uint32(end_id)))
                     tokens += int(b - a) + 1
+            trim()
         if writer is not None:
             docs = writer.close()
             writer.out.close()
