@@ -11,7 +11,7 @@ from ..functions import scores, templates, wikitext
 from ..functions import text as X
 from ..operators import pairs, select
 from ..operators.stages import written
-from ..sources import wikidump
+from ..sources import files, wikidump
 from . import compare, downloads, sft, translation
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -250,9 +250,19 @@ def folder_sizes(spark, sf_dir):
     return downloads.sizes(table(spark, sf_dir, "documents").select(F.col("lang").alias("folder"), F.col("n_chars").alias("size")), "folder")
 
 
-@query()
+_GRAMS = lambda side, text: f"SELECT item_id, n, {side} AS side, unnest(list_transform(range(1, greatest(length({text}) - n + 2, 1)), lambda i: substr({text}, i, n))) AS gram FROM pair, sizes"
+
+
+@query(f"""WITH sizes AS (SELECT unnest(range(1, {scores.ORDER + 1}))::BIGINT AS n
+), pair AS (SELECT a.item_id, coalesce(a.text, '') AS reference, coalesce(b.text, '') AS said FROM benchmark a JOIN benchmark b ON b.item_id = a.item_id + 1
+), grams AS ({_GRAMS(0, 'reference')} UNION ALL {_GRAMS(1, 'said')}
+), counted AS (SELECT item_id, n, gram, count_if(side = 0) AS theirs, count_if(side = 1) AS ours FROM grams GROUP BY ALL
+), met AS (SELECT item_id, n, sum(least(theirs, ours)) AS hits, sum(ours) AS total FROM counted GROUP BY ALL
+), logs AS (SELECT item_id, sum(ln(CASE WHEN coalesce(hits, 0) = 0 THEN {scores.EPSILON} ELSE hits END::DOUBLE / greatest(1, coalesce(total, 0)))) / {scores.ORDER} AS log,
+    max(CASE WHEN n = 1 THEN coalesce(hits, 0) END) AS common FROM (SELECT item_id, n FROM pair, sizes) LEFT JOIN met USING (item_id, n) GROUP BY item_id)
+SELECT item_id, round(CASE WHEN common = 0 THEN 0 ELSE least(1, exp(1 - length(reference)::DOUBLE / length(said))) * exp(log) END, 9) AS bleu FROM pair JOIN logs USING (item_id)""")
 def char_bleu(spark, sf_dir):
-    """Each benchmark item against the next one; tested against plain Python."""
+    """Each benchmark item against the next one."""
     b = table(spark, sf_dir, "benchmark")
     met = b.join(b.select((F.col("item_id") - 1).alias("item_id"), F.col("text").alias("other")), "item_id")
     return met.select("item_id", F.round(scores.char_bleu(F.col("text"), F.col("other")), 9).alias("bleu"))
@@ -349,3 +359,74 @@ def prompt_templates(spark, sf_dir):
 @query("SELECT lang, map_from_entries(list((status, n) ORDER BY status)) AS reasons FROM (" + SQL["reason_stats"] + ") GROUP BY lang")
 def reason_maps(spark, sf_dir):
     return select.reason_maps(reason_stats(spark, sf_dir), "lang")
+
+
+_ASKED = f"CASE WHEN {_STRIP('text')} != '' THEN {_STRIP('role')} || chr(10) || chr(10) || {_STRIP('text')} ELSE {_STRIP('role')} END"
+
+
+@query(f"""SELECT conv_id, turn, CASE WHEN lower(n) IN ({', '.join(repr(x) for x in X.EMPTY_INPUTS)}) THEN '' ELSE n END AS input,
+  CASE WHEN coalesce(text, '') = '' THEN role ELSE text END AS reply, {_ASKED} AS prompt FROM (SELECT *, {_NORM("CASE WHEN turn % 5 = 4 THEN ' N/A ' ELSE text END")} AS n FROM conversations)""")
+def field_forms(spark, sf_dir):
+    """Inputs without placeholders, the first reply that is not empty, and the prompt of two fields."""
+    c, text = table(spark, sf_dir, "conversations"), F.col("text")
+    given = F.when(F.col("turn") % 5 == 4, " N/A ").otherwise(text)
+    return c.select("conv_id", "turn", X.norm_input(given).alias("input"), X.either(text, F.col("role")).alias("reply"), X.user_text(F.col("role"), text).alias("prompt"))
+
+
+_PLAIN = dict(zip("éèêëáàâäíìîïóòôöúùûüñç", "eeeeaaaaiiiioooouuuunc"))
+
+
+@query(f"SELECT doc_id, translate(text, '{''.join(_PLAIN)}', '{''.join(_PLAIN.values())}') AS text FROM documents")
+def translated_characters(spark, sf_dir):
+    """Characters one for one by a table, here accented letters by plain ones."""
+    return table(spark, sf_dir, "documents").select("doc_id", X.translated(F.col("text"), _PLAIN).alias("text"))
+
+
+@query(f"SELECT conv_id, turn, text, text AS kept FROM (SELECT conv_id, turn, text AS said, {_CHATML('role', 'coalesce(text, repeat(chr(32), 0))')} AS text FROM conversations WHERE role IS NOT NULL)")
+def text_passthrough(spark, sf_dir):
+    """A text column is rendered where there is none, and left alone where there is one."""
+    c = table(spark, sf_dir, "conversations").where("role is not null").select("conv_id", "turn", "role", F.col("text").alias("said"))
+    rendered = templates.with_text(c, templates.chatml(F.col("role"), F.lit(""), F.coalesce("said", F.lit(""))))
+    again = templates.with_text(rendered, F.lit("other"))
+    return again.select("conv_id", "turn", "text", F.col("text").alias("kept"))
+
+
+_INDEX = lambda day: f"strftime(DATE '2024-01-01' + (page_id % {day})::INT, '%Y-%m-%d')"
+
+
+@query(f"""SELECT page_id, array_to_string(list_reverse_sort(list_distinct([{_INDEX(7)}, {_INDEX(11)}, {_INDEX(365)}, {_INDEX(7)}])), ',') AS dates FROM pages""")
+def listed_dates(spark, sf_dir):
+    """Dates of directory indexes, newest first; four entries are put behind each page."""
+    entry = lambda day: F.concat(F.lit('<a href="'), F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % day).cast("int")), "yyyy-MM-dd"), F.lit('/">x</a> '))
+    listing = F.concat(F.coalesce("html", F.lit("")), entry(7), entry(11), entry(365), entry(7), F.lit('<a href="latest/">'))
+    return table(spark, sf_dir, "pages").select("page_id", F.array_join(files.listed_dates(listing), ",").alias("dates"))
+
+
+@query("SELECT max(substr(o_orderdate::VARCHAR, 1, 10)) FILTER (o_orderstatus = 'F') AS date FROM orders")
+def newest_ready(spark, sf_dir):
+    """The newest date that is ready."""
+    return downloads.newest_ready(table(spark, sf_dir, "orders").select(F.substring(F.col("o_orderdate").cast("string"), 1, 10).alias("date"), (F.col("o_orderstatus") == "F").alias("ready")))
+
+
+@query("SELECT d.doc_id::VARCHAR AS path FROM documents d ANTI JOIN (SELECT page_id FROM pages WHERE length(html) > 0) p ON p.page_id = d.doc_id")
+def outstanding_tasks(spark, sf_dir):
+    """Documents for which there is no page, or an empty one."""
+    there = table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("path"), F.length("html").alias("size"))
+    return downloads.outstanding(table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path")), there)
+
+
+_MODELS = ("base", "ft")
+_TRANSLATED = lambda c: f"NOT regexp_matches(prompt, '{X.ASKS_TRANSLATION}') AND length({_STRIP(c)}) >= 8 AND length({_STRIP(c)}) < 120 AND length({_STRIP(c)}) <= length(prompt) + 40"
+
+
+@query(f"""SELECT id, bucket, task, source, expect, gold, prompt, regexp_matches(prompt, '{X.ASKS_TRANSLATION}') AS asked_translate, base, ft,
+  {_TRANSLATED('base')} AS base_unsolicited_translate, {_TRANSLATED('ft')} AS ft_unsolicited_translate
+FROM (SELECT b.item_id::VARCHAR AS id, 'heldout' AS bucket, 'qa' AS task, 'benchmark' AS source, '{compare.EXPECT}' AS expect, substr(b.text, 1, 400) AS gold, {_STRIP('b.text')} AS prompt, d.source AS base, d.text AS ft
+      FROM benchmark b LEFT JOIN documents d ON b.item_id = d.doc_id)""")
+def compared_models(spark, sf_dir):
+    """Replies of two models beside each prompt; the document of the item's number stands for the replies."""
+    b, d = table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents")
+    rows = b.select(F.col("item_id").cast("string").alias("id"), F.lit("heldout").alias("bucket"), F.lit("qa").alias("task"), F.lit("benchmark").alias("source"), F.lit(compare.EXPECT).alias("expect"), F.substring("text", 1, 400).alias("gold"), F.col("text").alias("instruction"), F.lit("").alias("input"))
+    said = F.explode(F.array(F.struct(F.lit("base").alias("model"), F.col("source").alias("reply")), F.struct(F.lit("ft").alias("model"), F.col("text").alias("reply"))))
+    replies = d.select(F.col("doc_id").cast("string").alias("id"), said.alias("r")).select("id", "r.model", "r.reply")
+    return compare.compared(rows, replies, list(_MODELS))
