@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from .common import as_rows
 from .components import components
 from .kernels import U, let_go, mix64, shingle_sets, text_chunks
-from .scratch import TEXT_ROWS, fits, small, stored
+from .scratch import fits, small, stored
 
 #: Ratio of a band's largest to its smallest size, or more where linked sets can differ more in size.
 BAND = (3, 2)
@@ -256,7 +256,7 @@ def grouped(docs: DataFrame, sim: Similarity, text: str, key: str) -> tuple[Data
     """Documents (doc_id, mark, n, key), and for sets that are not alone: key, root, component_id."""
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("body"), F.xxhash64(text).alias("mark"))
     table = rows.mapInArrow(_emit(sim), _MIXED).repartition("c1").sortWithinPartitions("c1", "key").mapInArrow(_shared, _SHARED)
-    table = stored(table, "signatures", by="kind", batch_rows=TEXT_ROWS)
+    table = stored(table, "signatures", by="kind", texts=True)
     nodes = table.where("kind = 1").select("key", "n", "doc_id", "mark")
     shared = table.where("kind = 0").select("sig", "key", "n", "spare", "instance")
     # Linked sets share more signatures of an instance than either has to spare; a set with fewer shared ones has no link there.
@@ -280,7 +280,7 @@ def grouped(docs: DataFrame, sim: Similarity, text: str, key: str) -> tuple[Data
     wanted = stored(shared.select("key").distinct(), "wanted")
     marks = stored(nodes.join(small(wanted), "key", "left_semi").groupBy("key").agg(F.min(F.struct("mark", "doc_id")).alias("one")).select("one.*"), "marks").select(F.col("mark").alias("m"), F.col("doc_id").alias("d"))
     sets = rows.join(small(marks), (F.col("mark") == F.col("m")) & F.col("doc_id").eqNullSafe(F.col("d")), "left_semi").select("body").mapInArrow(_sets(sim), "key long, n int, sketch array<long>, shingles array<long>")
-    sets = stored(sets, "sets", batch_rows=TEXT_ROWS)
+    sets = stored(sets, "sets", texts=True)
     if sets.count() > sets.select("key").distinct().count():  # rows equal in id and text
         sets = stored(sets.dropDuplicates(["key"]), "sets")
     def unsettled(rows: DataFrame, rounds: int = 3) -> DataFrame:

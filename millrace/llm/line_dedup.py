@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from .common import as_rows
 from .jaccard_join import Similarity, confirmed
 from .kernels import LOWER, SPACE, U, let_go, mix64, span_hashes, spans, text_chunks
-from .scratch import TEXT_ROWS, discard, small, stored
+from .scratch import discard, small, stored
 
 SLOTS, PARTS = 1 << 18, 64
 SIM = Similarity(4, 5, 1)
@@ -441,7 +441,7 @@ def _later(rows: DataFrame, firsts: DataFrame, pairs: DataFrame, sim: Similarity
     order = stored(firsts.join(small(keys), "key", "left_semi").select("key", F.struct("doc_id", "mark", "at").alias("first")), "order")
     spots = stored(order.groupBy(F.col("first.doc_id").alias("d"), F.col("first.mark").alias("m")).agg(F.collect_set(F.col("first.at")).alias("ask")), "spots")
     asked = rows.join(small(spots), (F.col("mark") == F.col("m")) & F.col("doc_id").eqNullSafe(F.col("d")))
-    sets = stored(asked.select("text", "ask").mapInArrow(_sets(), "key binary, shingles array<long>"), "sets", batch_rows=TEXT_ROWS)
+    sets = stored(asked.select("text", "ask").mapInArrow(_sets(), "key binary, shingles array<long>"), "sets", texts=True)
     if sets.count() > sets.select("key").distinct().count():  # of rows equal in id and text
         sets = stored(sets.dropDuplicates(["key"]), "sets")
     met = stored(confirmed(pairs, sets, sim), "matches")
@@ -460,7 +460,7 @@ def removed_lines(docs: DataFrame, sim: Similarity = SIM, text: str = "text", ke
     counts = rarity(rows)
     ends = tuple(x or 0 for x in rows.agg(F.min("doc_id"), F.max("doc_id")).first())
     parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(counts.sum()) * TOKEN.itemsize // 5 // PART_BYTES)
-    found = stored(rows.mapInArrow(_emit(count_levels(counts), sim, parts, ends), _DEALT).repartitionById(parts, "part").mapInArrow(_join(sim), _FOUND), "lines", by="kind", batch_rows=TEXT_ROWS)
+    found = stored(rows.mapInArrow(_emit(count_levels(counts), sim, parts, ends), _DEALT).repartitionById(parts, "part").mapInArrow(_join(sim), _FOUND), "lines", by="kind", texts=True)
     discard(rows.sparkSession)
     kind = lambda df, k: df.where(F.col("kind") == k)
     firsts = kind(found, 1).select("key", "doc_id", "mark", "at")

@@ -47,25 +47,25 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-#: Rows of a batch that workers get where rows hold whole texts; Spark's own 10,000 would be tens of MB.
-TEXT_ROWS = 2000
-_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Bytes of a batch that workers get where rows may hold whole texts, long ones too; Spark's own bound is 64 MB.
+TEXT_BYTES = 4 << 20
+_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Whether small results are spread over all cores: a scratch table of some rows would be a file per core.
 _SPREAD = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
 
 
-def stored(df: DataFrame, name: str, by: str | None = None, batch_rows: int | None = None) -> DataFrame:
+def stored(df: DataFrame, name: str, by: str | None = None, texts: bool = False) -> DataFrame:
     """Write ``df`` as a scratch table and return the table.
 
-    ``batch_rows`` bounds the batches of the Python workers while it is written.
+    ``texts``: rows hold texts or parts of them, so the batches of the Python
+    workers are bounded by ``TEXT_BYTES`` while it is written.
     """
     spark = df.sparkSession
     path = new_path(spark, name)
     writer = df.write.partitionBy(by) if by else df.write
-    before = {key: spark.conf.get(key) for key in (_BATCH, _SPREAD)}
-    if batch_rows:
-        rows = int(before[_BATCH])
-        spark.conf.set(_BATCH, str(min(batch_rows, rows) if rows > 0 else batch_rows))
+    before = {key: spark.conf.get(key) for key in (_BYTES, _SPREAD)}
+    if texts:
+        spark.conf.set(_BYTES, str(TEXT_BYTES))
     spark.conf.set(_SPREAD, "false")
     try:
         writer.parquet(path)

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .kernels import KEPT, SPACE, text_chunks, trim
-from .scratch import TEXT_ROWS, new_path, stored
+from .scratch import new_path, stored
 
 FRAME_IDS = 1 << 18
 INDEX_MAGIC, TABLE_MAGIC, TABLE_FOOT = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
@@ -299,7 +299,7 @@ def write_token_files(docs: DataFrame, vocabulary: str, folder: str, end_id: int
     """Write ``docs`` to ``folder`` (an URI all executors reach); the manifest: ``part, path, docs, tokens``."""
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     ordered = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").drop("tie")
-    return stored(ordered.mapInArrow(_write(folder, vocabulary, end_id, added), "part int, path string, docs long, tokens long"), "manifest", batch_rows=TEXT_ROWS)
+    return stored(ordered.mapInArrow(_write(folder, vocabulary, end_id, added), "part int, path string, docs long, tokens long"), "manifest", texts=True)
 
 
 def _read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
